@@ -25,7 +25,7 @@ def lettered_words(raw: bytes | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes by word, kept for the words met most recently; bounded by `most` entries."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
