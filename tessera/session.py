@@ -14,7 +14,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.timestampType": "TIMESTAMP_NTZ",
 }
 
 
