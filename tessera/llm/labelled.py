@@ -20,4 +20,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, f
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != held_out))
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min(label).alias("_label"), F.max(label).alias("_other")).where("_label = _other")
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(rows).select("_id", F.col("_label").cast("int").alias("_label"))
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(F.col("text").cast("binary").alias("_raw"), "_label")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(F.col("text").cast("binary").alias("_raw"), "_label")

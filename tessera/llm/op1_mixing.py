@@ -16,11 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.columns import Aside
 from tessera.llm.prefix import KEY_BITS, cell_count, cell_of, running_sums
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
+RESULTS = ("_size", "_source_size", "_target", "_epochs", "_taken", "_copies")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS) -> DataFrame:
@@ -57,15 +59,20 @@ def mix(
     _copies is the number of whole documents that stands for it: the document at the cut counts
     if its middle lies before the cut.
     """
-    cells = cell_count(docs.count() if rows is None else rows)
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(F.col("text"), F.lit("")))))
+    aside = Aside(docs)
+    return aside.back(_mix(aside, weights, most, seed, docs.count() if rows is None else rows), *RESULTS)
+
+
+def _mix(aside: Aside, weights: tuple[int, ...], most: int, seed: str, rows: int) -> DataFrame:
+    cells, text, source = cell_count(rows), aside("text"), aside("source")
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(aside("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
     keyed = (
-        docs.withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-        .withColumn("_group", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("v"), F.col("source"))))
+        aside.df.withColumn("_size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
+        .withColumn("_group", F.when(source.isNull(), "n").otherwise(F.concat(F.lit("v"), source)))
         .withColumn("_key", key)
     )
     keyed = keyed.withColumn("_cell", cell_of(F.conv(F.substring("_key", 1, KEY_BITS // 4), 16, 10).cast("long"), cells))
-    per_source = keyed.groupBy("_group", F.col("source")).agg(F.sum("_size").alias("source_size"))
+    per_source = keyed.groupBy("_group", source.alias("source")).agg(F.sum("_size").alias("source_size"))
     targets = source_targets(per_source.select("source", "source_size"), weights, most)
     targets = targets.select(
         F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("v"), F.col("source"))).alias("_target_group"),
@@ -85,10 +92,11 @@ def mix(
     )
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
     """The mixed corpus itself, with the columns of docs: each document as often as the mix takes it."""
-    repeated = mix(docs, **options).where("_copies > 0")
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    aside = Aside(docs)
+    repeated = _mix(aside, weights, most, seed, docs.count()).where("_copies > 0")
+    return aside.back(repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

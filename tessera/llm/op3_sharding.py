@@ -9,7 +9,7 @@ The matrix has at most MAX_CHUNKS rows of one count a shard, whatever the input.
 
 Defined results: a null text has size 16 and a null checksum; a null doc_id hashes as such; rows
 that repeat are rows of their own; an empty table gives an empty result; further columns are kept
-by shard(), but for names that begin with "_" and are its own.
+by shard(), but for ones named shard or slot.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.columns import Aside
 from tessera.llm.prefix import KEY_BITS, cell_count, cell_of, running_sums
 
 SHARDS = 40
@@ -62,9 +63,8 @@ def shard(docs: DataFrame, identity: list[str], shards: int = SHARDS, seed: int
 
     identity: the columns whose hash stands for a row.
     """
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
-    hashed = docs.withColumn("_hash", F.xxhash64(F.lit(seed), *[F.col(c) for c in identity]))
+    aside = Aside(docs)
+    hashed = aside.df.withColumn("_hash", F.xxhash64(F.lit(seed), *[aside(c) for c in identity]))
     n = docs.count()
     chunks = max(1, min(MAX_CHUNKS, -(-n // CHUNK_ROWS)))
     chunked = hashed.withColumn("_chunk", F.pmod("_hash", F.lit(chunks)).cast("int"))
@@ -82,9 +82,9 @@ def shard(docs: DataFrame, identity: list[str], shards: int = SHARDS, seed: int
     sent = permuted.join(matrix, F.col("_chunk") == F.col("_of_chunk"))
     sent = sent.withColumn("shard", F.size(F.filter("_ends", lambda end: end <= F.col("_rank"))))
     key = F.shiftrightunsigned(F.xxhash64(F.lit("again"), F.lit(seed), "_chunk", "_rank"), 64 - KEY_BITS)
-    sent = sent.select(*[F.col(f"`{c}`") for c in kept], "shard", "_chunk", "_rank", key.alias("_key"), F.lit(1).cast("long").alias("_one"))
+    sent = sent.select(*aside.inner, "shard", "_chunk", "_rank", key.alias("_key"), F.lit(1).cast("long").alias("_one"))
     sent = sent.withColumn("_cell", cell_of(F.col("_key"), cell_count(-(-n // shards))))
-    return running_sums(sent, "shard", "_cell", ["_key", "_chunk", "_rank"], "_one", ("slot", "_shard_rows")).select(*[F.col(f"`{c}`") for c in kept], "shard", "slot")
+    return aside.back(running_sums(sent, "shard", "_cell", ["_key", "_chunk", "_rank"], "_one", ("slot", "_shard_rows")), "shard", "slot")
 
 
 def with_digest(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.columns import Aside
+
 RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -67,8 +69,8 @@ def filter_urls(pages: DataFrame, rules=RULES, url: str = "url", default: str =
     if named.count() <= BROADCAST_RULES:
         named = F.broadcast(named)
 
-    kept = [F.col(f"`{c}`") for c in pages.columns]
-    rows = pages.withColumn("_host", host_of(F.col(url))).withColumn("_path", path_of(F.col(url)))
+    aside = Aside(pages)
+    rows = aside.df.withColumn("_host", host_of(aside(url))).withColumn("_path", path_of(aside(url)))
     # each different address is judged once
     addresses = rows.where("_host != ''").select("_host", "_path").distinct()
     labels = F.split("_host", r"\.")
@@ -82,7 +84,7 @@ def filter_urls(pages: DataFrame, rules=RULES, url: str = "url", default: str =
     best = found.groupBy(F.col("_host").alias("_best_host"), F.col("_path").alias("_best_path")).agg(F.max(F.struct("_length", "_blocks", "_rule")).alias("_best"))
     judged = rows.join(best, (F.col("_host") == F.col("_best_host")) & (F.col("_path") == F.col("_best_path")), "left")
     verdict = F.when(F.col("_best").isNull(), default).when(F.col("_best._blocks") == 1, "block").otherwise("allow")
-    return judged.select(*kept, "_host", "_path", F.col("_best._rule").alias("_rule"), verdict.alias("_verdict"))
+    return aside.back(judged.withColumns({"_rule": F.col("_best._rule"), "_verdict": verdict}), "_host", "_path", "_rule", "_verdict")
 
 
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tessera.llm.columns import Aside
 from tessera.llm.labelled import fold_of, labelled_sample
 from tessera.llm.words import lettered_words
 
@@ -168,18 +170,18 @@ def train(sample: DataFrame, keep: int = FEATURES, groups=IDENTITY_GROUPS) -> Mo
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with _score."""
-    kept = [f for f in docs.schema if not f.name.startswith("_")]
+    aside = Aside(docs)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(model.places)
         for batch in batches:
-            out = {f.name: batch.column(f.name) for f in kept}
+            out = {c: batch.column(c) for c in inner}
             out["_score"] = pa.array([model.score(features, x.as_py()) for x in batch.column("_raw")], pa.float64())
             yield pa.RecordBatch.from_pydict(out)
 
-    columns = [F.col(f"`{f.name}`") for f in kept]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["_score double"])
-    return docs.select(*columns, F.col(f"`{text}`").cast("binary").alias("_raw")).mapInArrow(score, schema)
+    inner = aside.inner
+    schema = T.StructType([*aside.df.schema.fields, T.StructField("_score", T.DoubleType())])
+    return aside.back(aside.df.withColumn("_raw", aside(text).cast("binary")).mapInArrow(score, schema), "_score")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

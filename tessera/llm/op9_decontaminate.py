@@ -24,11 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tessera.llm.columns import Aside
 from tessera.llm.words import lettered_words
 from tessera.session import materialize
 
 WIDTH, MIN_ITEMS = 8, 2
+RESULTS = ("_n_words", "_n_hit", "_n_items", "_items", "_contaminated")
 #: Words of benchmark items that a task holds at once.
 BLOCK_WORDS = 2_000_000
 #: Words of documents that a task indexes at once.
@@ -146,14 +149,14 @@ def term_counts(docs: DataFrame, terms: list[bytes], text: str = "_raw") -> dict
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", width: int = WIDTH, slop: int = 0, min_items: int = MIN_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with _n_words, _n_hit, _n_items, _items (ids as strings, sorted), and _contaminated."""
-    kept = [c for c in docs.columns if not c.startswith("_")]
-    raw = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("binary").alias("_raw"))
+    aside = Aside(docs)
+    raw = aside.df.withColumn("_raw", aside(text).cast("binary"))
     blocks = []
     for items in _block_items(benchmark, block_words):
         terms, found = item_windows(items, width)
         blocks.append(Block(terms, found, term_counts(raw, terms) if terms else {}))
     if len(blocks) == 1:
-        return _scan(raw, kept, blocks[0], slop, min_items)
+        return aside.back(_scan(raw, aside.inner, blocks[0], slop, min_items), *RESULTS)
     # the id of a row must be the same in each pass: it is taken once and written
     numbered = materialize(raw.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
     parts = None
@@ -164,16 +167,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", wid
     merged = parts.groupBy("_row").agg(F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"), F.array_distinct(F.flatten(F.collect_list("_spans"))).alias("_spans"))
     joined = numbered.join(merged.select(F.col("_row").alias("_of"), "_items", "_spans"), F.col("_row") == F.col("_of"), "left")
     # positions of hit words, of all blocks, without repeats
-    words = F.regexp_count(F.translate(F.col(f"`{text}`"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+    words = F.regexp_count(F.translate(aside(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     items = F.array_sort(F.coalesce("_items", F.array().cast("array<string>")))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in kept],
+    counted = joined.select(
+        *aside.inner,
         F.coalesce(words, F.lit(0)).cast("long").alias("_n_words"),
         F.coalesce(F.size("_spans"), F.lit(0)).cast("long").alias("_n_hit"),
         F.size(items).cast("long").alias("_n_items"),
         items.alias("_items"),
         (F.size(items) >= min_items).alias("_contaminated"),
     )
+    return aside.back(counted, *RESULTS)
 
 
 def _scan(raw: DataFrame, kept: list[str], block: Block, slop: int, min_items: int, spans: bool = False) -> DataFrame:
@@ -205,9 +209,8 @@ def _scan(raw: DataFrame, kept: list[str], block: Block, slop: int, min_items: i
                 out["_spans"] = pa.array([np.flatnonzero(hit[b:e]).tolist() for b, e in zip(begins, ends, strict=True)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(out)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.select(*[F.col(f"`{c}`") for c in kept]).schema)
-    schema = f"{fields}, _n_words long, _n_hit long, _n_items long, _items array<string>, _contaminated boolean" + ", _spans array<int>" * spans
-    return raw.mapInArrow(scan, schema)
+    made = T.StructType.fromDDL("_n_words long, _n_hit long, _n_items long, _items array<string>, _contaminated boolean" + ", _spans array<int>" * spans)
+    return raw.mapInArrow(scan, T.StructType([*raw.select(*kept).schema.fields, *made.fields]))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
