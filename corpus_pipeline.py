@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.columns import Aside
 from tessera.llm.op1_mixing import mixed
 from tessera.llm.op2_jaccard import jaccard_components
 from tessera.llm.op3_sharding import shard, with_digest
@@ -36,11 +37,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     components = materialize(jaccard_components(docs), "components")
     dropped = components.where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti")
+    aside = Aside(docs)
+    kept = aside.df.join(dropped, aside("doc_id") == F.col("_gone"), "left_anti")
     twice = components.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
-    marked = kept.join(twice, F.col("doc_id") == F.col("_twice"), "left")
-    single = marked.where("_twice IS NULL").select(*_columns(docs))
-    return single.unionByName(marked.where("_twice IS NOT NULL").select(*_columns(docs)).dropDuplicates(["doc_id", "text"]))
+    marked = kept.join(twice, aside("doc_id") == F.col("_twice"), "left")
+    single = aside.back(marked.where("_twice IS NULL"))
+    return single.unionByName(aside.back(marked.where("_twice IS NOT NULL")).dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
