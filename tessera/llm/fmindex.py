@@ -8,6 +8,8 @@ from __future__ import annotations
 import numpy as np
 
 DEPTH = 64
+#: Windows of a query that are searched one after another; longer queries are cut, so that none is long.
+PIECE = 32
 _MASKS = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
 
 
@@ -82,9 +84,10 @@ def repeated_spans(index: FMIndex, text: np.ndarray, begins: np.ndarray, ends: n
     Returns query, begin and end of the spans, relative to text.
     """
     who, low_at, high_at = [], [], []
-    query = np.flatnonzero(ends - begins >= window)
-    first = begins[query]
-    end = ends[query].copy()
+    pieces = np.maximum(0, -(-(ends - begins - window + 1) // PIECE))
+    query = np.repeat(np.arange(len(begins)), pieces)
+    first = begins[query] + PIECE * (np.arange(len(query)) - np.repeat(pieces.cumsum() - pieces, pieces))
+    end = np.minimum(ends[query], first + PIECE + window - 1)
     stop = np.maximum(first, end - DEPTH)
     probe = np.zeros(len(query), np.int64)  # 0: follows the longest factor; else the length of a probe
     goal = end.copy()  # the end to go on from if the probes don't rule it out
