@@ -93,8 +93,9 @@ def test_jaccard(spark):
             if both and 100 * both >= 75 * len(sets[i] | sets[j]):
                 parent[max(find(i), find(j))] = min(find(i), find(j))
     want = sorted((i, len(s), find(i)) for i, s in enumerate(sets))
-    got = op2_jaccard.jaccard_components(frame(spark, texts))
-    assert sorted(tuple(r) for r in got.collect()) == want
+    for most in (op2_jaccard.FAMILY_ROWS, 1):
+        got = op2_jaccard.jaccard_components(frame(spark, texts), family_rows=most)
+        assert sorted(tuple(r) for r in got.collect()) == want
     assert op2_jaccard.jaccard_components(frame(spark, texts).limit(0)).count() == 0
     nulls = frame(spark, ["a b c d e f"] * 3, [None, 7, 9])
     assert {(r[0], r[2]) for r in op2_jaccard.jaccard_components(nulls).collect()} == {(None, 7), (7, 7), (9, 7)}
