@@ -8,9 +8,13 @@ and slot.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
+from tessera.llm.bitfilter import bit_filter, passes
 from tessera.llm.columns import Aside
 from tessera.llm.op1_mixing import mixed
 from tessera.llm.op2_jaccard import jaccard_components
@@ -31,18 +35,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id; of rows that repeat an id in a group, one.
+    """Of each group of linked documents the one with the smallest doc_id; of rows that repeat id and text, one.
 
-    Rows without a doc_id or without words are linked with nothing and stay.
+    Rows without a doc_id or without words are linked with nothing and stay. Only rows that may be
+    named as copies are shuffled: a filter of bounded size tells the others, which stay where they are.
     """
-    components = materialize(jaccard_components(docs), "components")
-    dropped = components.where("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    components = jaccard_components(docs).where("n_shingles > 0 AND doc_id IS NOT NULL")
+    named = components.groupBy(F.col("doc_id").alias("_of")).agg(F.min("component_id").alias("_least"), F.count("*").alias("_rows"))
+    named = named.where("_least <> _of OR _rows > 1").select("_of", (F.col("_least") != F.col("_of")).alias("_gone"), F.xxhash64("_of").alias("_key"))
+    named = materialize(named, "named")
+    bits = bit_filter(named, "_key")
+
+    @F.pandas_udf(BooleanType())
+    def may_be_named(keys: pd.Series) -> pd.Series:
+        return pd.Series(passes(bits, keys.to_numpy(np.int64)))
+
     aside = Aside(docs)
-    kept = aside.df.join(dropped, aside("doc_id") == F.col("_gone"), "left_anti")
-    twice = components.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
-    marked = kept.join(twice, aside("doc_id") == F.col("_twice"), "left")
-    single = aside.back(marked.where("_twice IS NULL"))
-    return single.unionByName(aside.back(marked.where("_twice IS NOT NULL")).dropDuplicates(["doc_id", "text"]))
+    marked = aside.df.withColumn("_maybe", may_be_named(F.xxhash64(aside("doc_id"))))
+    asked = marked.where("_maybe").join(named, aside("doc_id") == F.col("_of"), "left")
+    others = aside.back(marked.where("NOT _maybe")).unionByName(aside.back(asked.where("_of IS NULL")))
+    return others.unionByName(aside.back(asked.where("NOT _gone")).dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
