@@ -3,12 +3,15 @@ r"""License scans: MinHash bands over overlapping text windows, then exact shing
 Native: DataFrame expressions only.
 
 Texts are lower-cased (A-Z) and cut into words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`; five words are a
-shingle, fewer words are one. A window is SPAN shingles, one begins at every STEP-th; documents and
+shingle, fewer words are one. A window is SPAN shingles, one begins at every STEP-th; the first begins
+before the text and the last reaches beyond it, so that each shingle lies in two. Documents and
 templates are windowed alike. Each of BANDS bands has one MinHash: the least of the window's shingle
-hashes under the band's exclusive-or. A template of one shingle shares a band with a window that
-holds it with probability 1/4 and lies in two windows, so that BANDS = 24 miss it with (3/4)**48,
-or 1e-6; longer templates have more windows and miss less. Windows that share a band with a template
-retrieve it, and it is a match if at least CONTAINED of its different shingles stand in the document.
+hashes, mixed with the band's mask by xxhash64. A template of one shingle is the least in one of its two
+windows with probability 1/4 + 1/4 - 1/6 = 1/3 if it stands among others (1/2 at the ends), so that
+BANDS = 96 miss it with (2/3)**96, about 1e-17; longer templates have more windows. Windows that hold
+no shingle of any template share no band with one, as the mixing is one-to-one, and get no bands.
+Windows that share a band with a template retrieve it, and it is a match if at least CONTAINED of its
+different shingles stand in the document.
 
 Rows are (document, template) matches. Defined results: null and empty texts match nothing; rows
 that repeat give one match; a null doc_id is kept; templates without words are no templates; an
@@ -17,10 +20,13 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WIDTH, SPAN, STEP, BANDS, CONTAINED = 5, 4, 2, 24, 0.75
+WIDTH, SPAN, STEP, BANDS, CONTAINED = 5, 4, 2, 96, 0.75
 #: Templates that one pass looks for; more take more passes.
 BLOCK_TEMPLATES = 200
 
@@ -59,14 +65,15 @@ def _shingles(words: Column) -> Column:
 
 
 def _windows(shingles: Column) -> Column:
-    starts = F.sequence(F.lit(0), F.greatest(F.size(shingles) - SPAN, F.lit(0)) + (STEP - 1), F.lit(STEP))
+    """Null entries stand for places outside the text."""
+    starts = F.sequence(F.lit(STEP - SPAN), F.size(shingles) - 1, F.lit(STEP))
     window = F.transform(starts, lambda i: F.struct(*[F.get(shingles, i + k).alias(f"s{k}") for k in range(SPAN)]))
     return F.when(F.size(shingles) > 0, window)
 
 
 def _band(b: int) -> Column:
-    masked = [F.col(f"_window.s{k}").bitwiseXOR(F.lit(_MASKS[b])) for k in range(SPAN)]
-    return F.least(*masked)
+    places = [F.col(f"_window.s{k}") for k in range(SPAN)]
+    return F.least(*[F.when(s.isNotNull(), F.xxhash64(s.bitwiseXOR(F.lit(_MASKS[b])))) for s in places])
 
 
 def _banded(windowed: DataFrame, *kept: str) -> DataFrame:
@@ -95,8 +102,9 @@ def _scan_block(docs: DataFrame, templates, doc_id: str, text: str, contained: f
     hashed = worded.select("doc_id", _shingles(F.col("_words")).alias("_shingles"))
     # below the explode, which else computes what stands beside it for each window
     held = hashed.select("doc_id", "_shingles", F.array_distinct(F.filter("_shingles", lambda h: h.isin(wanted))).alias("_held"))
-    windowed = held.select("doc_id", "_held", F.explode(_windows(F.col("_shingles"))).alias("_window"))
-    banded = _banded(windowed, "doc_id", "_held")
+    windowed = held.select("doc_id", "_held", F.explode(F.when(F.size("_held") > 0, _windows(F.col("_shingles")))).alias("_window"))
+    asked = windowed.where(reduce(or_, [F.col(f"_window.s{k}").isin(wanted) for k in range(SPAN)]))
+    banded = _banded(asked, "doc_id", "_held")
     bands_of = F.explode(F.array(*[F.struct(F.lit(b).alias("_of"), F.col(f"_b{b}").alias("_min")) for b in range(BANDS)])).alias("_at")
     retrieved = banded.select("doc_id", "_held", bands_of)
     found = retrieved.join(F.broadcast(index), (F.col("_at._of") == F.col("_band")) & (F.col("_at._min") == F.col("_value")))
