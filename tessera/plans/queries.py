@@ -273,6 +273,15 @@ def stale_candidates(spark, sf_dir):
     return joined.where("of IS NULL OR quality = 0 OR toxic = 1").orderBy(F.desc("doc_id")).limit(50).select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"))
 
 
+@query("""
+SELECT d.doc_id, coalesce(l.quality, -1)::INTEGER AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL OR l.quality = 0 OR l.toxic = 1""")
+def all_stale_candidates(spark, sf_dir):
+    """As stale_candidates, without its limit."""
+    labels = _t(spark, sf_dir, "labels").withColumnRenamed("doc_id", "of")
+    joined = _t(spark, sf_dir, "documents").select("doc_id").join(labels, F.col("doc_id") == F.col("of"), "left")
+    return joined.where("of IS NULL OR quality = 0 OR toxic = 1").orderBy(F.desc("doc_id")).select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"))
+
+
 @query("""
 SELECT o_orderkey, CASE WHEN low = high THEN 'USD ' || format('{:,}', low) ELSE 'USD ' || format('{:,}', low) || '-' || format('{:,}', high) END || ' / year' AS salary
 FROM (SELECT o_orderkey, floor(o_totalprice)::BIGINT AS low, floor(o_totalprice)::BIGINT + (o_orderkey % 2) * 5000 AS high FROM orders) WHERE low > 0""")

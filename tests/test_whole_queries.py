@@ -1,9 +1,12 @@
 """Queries over whole tables, against brute force on small ones with odd rows."""
 
 import html
+from datetime import datetime
 
 import __spark_entry__
 from tessera.functions.text import REMOTE_WORDS
+from tessera.plans.enrich import RulesProvider, candidates
+from tessera.plans.profile import Profile
 
 
 def test_all_turns_cleaned(spark, tmp_path):
@@ -18,3 +21,24 @@ def test_all_turns_cleaned(spark, tmp_path):
     want = [(i, turn, " ".join(html.unescape(text or "").split()) or None, mode(role, text)) for i, turn, role, text in rows]
     got = __spark_entry__.queries()["all_turns_cleaned"](spark, str(tmp_path))
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_all_stale_candidates(spark, tmp_path):
+    """More stale rows than the 50 of stale_candidates."""
+    labels = [(i, i % 2, int(i % 5 == 1)) for i in range(0, 120, 3)]
+    spark.createDataFrame([(i,) for i in range(120)], "doc_id long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    known = {i: (quality, toxic) for i, quality, toxic in labels}
+    want = [(i, known.get(i, (-1, 0))[0]) for i in reversed(range(120)) if i not in known or known[i][0] == 0 or known[i][1] == 1]
+    assert len(want) > 50
+    assert [tuple(r) for r in __spark_entry__.queries()["all_stale_candidates"](spark, str(tmp_path)).collect()] == want
+
+
+def test_limit_of_candidates(spark):
+    profile, provider = Profile("", "", "senior", ()), RulesProvider()
+    jobs = spark.createDataFrame([(f"j{i}", f"c{i}", datetime(2026, 1, 1 + i // 2)) for i in range(6)], "job_id string, content_hash string, first_seen_at timestamp_ntz")
+    done = [("j5", "c5", profile.fingerprint), ("j4", "old", profile.fingerprint), ("j0", "c0", "other")]
+    scored = spark.createDataFrame([(*d, provider.name, provider.model) for d in done], "job_id string, content_hash string, profile_hash string, provider string, model string")
+    order = ["j4", "j2", "j3", "j0", "j1"]
+    for limit in (None, 0, 2, 9):
+        assert [r["job_id"] for r in candidates(jobs, scored, profile, provider, limit).collect()] == order[:limit]
