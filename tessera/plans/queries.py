@@ -142,6 +142,20 @@ def components(spark, sf_dir):
     return found.select(F.col("node").alias("doc_id"), "component")
 
 
+@query("""
+WITH RECURSIVE k AS (SELECT doc_id, md5(text) AS key FROM documents UNION SELECT doc_id, 'n' || n_chars || '|' || source FROM documents),
+e AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM k a JOIN k b USING (key)),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT a AS doc_id, min(b) AS component FROM r GROUP BY a""")
+def whole_key_components(spark, sf_dir):
+    """As components, but both keys come from whole columns: the text, and source with n_chars."""
+    docs = _t(spark, sf_dir, "documents")
+    keys = docs.select("doc_id", F.explode(F.array(F.md5("text"), F.concat(F.lit("n"), F.col("n_chars").cast("string"), F.lit("|"), "source"))).alias("key"))
+    first = keys.groupBy("key").agg(F.min("doc_id").alias("first"))
+    found = connected_components(keys.join(first, "key").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    return found.select(F.col("node").alias("doc_id"), "component")
+
+
 @query("""
 WITH r AS (SELECT *, CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 ELSE 4 END AS rank, CASE WHEN n_chars % 3 = 0 THEN NULL ELSE n_chars END AS size FROM documents)
 SELECT source, arg_min(doc_id, rank::BIGINT * 1000000000 + doc_id) AS first_doc, arg_min(lang, rank::BIGINT * 1000000000 + doc_id) AS lang,

@@ -42,3 +42,12 @@ def test_limit_of_candidates(spark):
     order = ["j4", "j2", "j3", "j0", "j1"]
     for limit in (None, 0, 2, 9):
         assert [r["job_id"] for r in candidates(jobs, scored, profile, provider, limit).collect()] == order[:limit]
+
+
+def test_whole_key_components(spark, tmp_path):
+    """Texts that differ behind their first 40 characters are only tied by source and size."""
+    same = "x" * 40
+    rows = [(1, same + "a", "s", 41), (2, same + "bc", "s", 42), (3, same + "bc", "t", 42), (4, "y" * 42, "t", 42), (5, same + "d", "t", 41), (6, same + "e", None, 41)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = __spark_entry__.queries()["whole_key_components"](spark, str(tmp_path))
+    assert {r["doc_id"]: r["component"] for r in got.collect()} == {1: 1, 2: 2, 3: 2, 4: 2, 5: 5, 6: 6}
