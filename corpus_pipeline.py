@@ -17,7 +17,7 @@ from pyspark.sql.types import BooleanType
 from tessera.llm.bitfilter import bit_filter, passes
 from tessera.llm.columns import Aside
 from tessera.llm.op1_mixing import mixed
-from tessera.llm.op2_jaccard import jaccard_components
+from tessera.llm.op2_jaccard import jaccard_copies
 from tessera.llm.op3_sharding import shard, with_digest
 from tessera.llm.op8_quality import THRESHOLD, quality_field, score_quality
 from tessera.llm.op9_decontaminate import decontaminate
@@ -35,14 +35,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id; of rows that repeat id and text, one.
+    """Of each group of linked documents one row: that of the smallest doc_id (null is the greatest), then of the least hash of its text.
 
-    Rows without a doc_id or without words are linked with nothing and stay. Only rows that may be
-    named as copies are shuffled: a filter of bounded size tells the others, which stay where they are.
+    Rows without words are linked with nothing and stay. Only rows that may be named as copies are
+    shuffled: a filter of bounded size tells the others, which stay where they are.
     """
-    components = jaccard_components(docs).where("n_shingles > 0 AND doc_id IS NOT NULL")
-    named = components.groupBy(F.col("doc_id").alias("_of")).agg(F.min("component_id").alias("_least"), F.count("*").alias("_rows"))
-    named = named.where("_least <> _of OR _rows > 1").select("_of", (F.col("_least") != F.col("_of")).alias("_gone"), F.xxhash64("_of").alias("_key"))
+    named = jaccard_copies(docs).select(F.col("doc_id").alias("_of"), F.col("mark").alias("_text"), F.col("gone").alias("_gone"), F.xxhash64("doc_id", "mark").alias("_key"))
     named = materialize(named, "named")
     bits = bit_filter(named, "_key")
 
@@ -51,9 +49,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return pd.Series(passes(bits, keys.to_numpy(np.int64)))
 
     aside = Aside(docs)
-    marked = aside.df.withColumn("_maybe", may_be_named(F.xxhash64(aside("doc_id"))))
-    asked = marked.where("_maybe").join(named, aside("doc_id") == F.col("_of"), "left")
-    others = aside.back(marked.where("NOT _maybe")).unionByName(aside.back(asked.where("_of IS NULL")))
+    own = aside("doc_id").cast("long")
+    marked = aside.df.withColumn("_mark", F.xxhash64(aside("text"))).withColumn("_maybe", may_be_named(F.xxhash64(own, "_mark")))
+    asked = marked.where("_maybe").join(named, own.eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_text")), "left")
+    others = aside.back(marked.where("NOT _maybe")).unionByName(aside.back(asked.where("_gone IS NULL")))
     return others.unionByName(aside.back(asked.where("NOT _gone")).dropDuplicates(["doc_id", "text"]))
 
 
