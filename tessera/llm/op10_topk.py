@@ -10,11 +10,14 @@ come in blocks of at most BLOCK; the shards' results meet by query.
 Defined results: vectors that are null or hold null or non-finite components take no part; vectors
 are compared with those of their own length; a null id is no query and no candidate; rows that
 repeat an id are candidates of their own, but for the query's own id; an empty table or one vector
-gives an empty result; other columns are ignored.
+gives an empty result; vectors without components have the score 0 with each other; components so
+large that float64 scores might not be exact are scored as Python integers, and components or
+scores beyond a long end the query; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,10 +102,7 @@ def whole_vectors(df: DataFrame, id_col: str, vector: str, scale: float) -> Data
 
 
 def topk(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
-    """vectors, queries: as whole_vectors gives them. query_id, rank, vec_id, score.
-
-    Scores beyond 2**53 are refused, as they could not be exact.
-    """
+    """vectors, queries: as whole_vectors gives them. query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     n = vectors.count()
     shards = max(1, min(-(-n // 512), max(spark.sparkContext.defaultParallelism, -(-n // SHARD_ROWS))))
@@ -126,10 +126,10 @@ def _blocks(queries: DataFrame, block: int, dims: int) -> Iterator[tuple[np.ndar
         names.append(row["_id"])
         points.append(row["_vector"])
         if len(names) == block:
-            yield np.array(names, np.int64), np.array(points, np.float64).reshape(-1, dims)
+            yield np.array(names, np.int64), np.array(points, np.float64).reshape(len(points), dims)
             names, points = [], []
     if names:
-        yield np.array(names, np.int64), np.array(points, np.float64).reshape(-1, dims)
+        yield np.array(names, np.int64), np.array(points, np.float64).reshape(len(points), dims)
 
 
 def _first_kth(names: np.ndarray, points: np.ndarray, k: int) -> np.ndarray:
@@ -144,23 +144,33 @@ def _first_kth(names: np.ndarray, points: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def _plain_search(ids: np.ndarray, points: np.ndarray, names: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """The k best of these vectors for each query, by Python integers."""
+    whole = np.array([[int(x) for x in row] for row in points], object).reshape(points.shape)
+    for name, query in zip(names.tolist(), queries, strict=True):
+        scores = (whole * np.array([int(x) for x in query], object)).sum(1).tolist()
+        best = heapq.nsmallest(k, ((-int(score), i) for score, i in zip(scores, ids.tolist(), strict=True) if i != name))
+        yield pa.record_batch({"query_id": pa.array([name] * len(best), pa.int64()), "vec_id": pa.array([i for _, i in best], pa.int64()), "score": pa.array([-score for score, _ in best], pa.int64())})
+
+
 def _search(vectors: DataFrame, names: np.ndarray, points: np.ndarray, k: int, dims: int) -> DataFrame:
-    if not _exact(points):
-        raise ValueError("components are too large for exact scores")
     small = points.astype(np.float32) if np.abs(points).max(initial=0) < 2**24 else points
-    kth = _first_kth(names, points, k)
+    kth = _first_kth(names, points, k) if dims and _exact(points) else np.full(len(names), -np.inf)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, rows = [], []
         for batch in batches:
             ids.append(batch.column("_id").to_numpy(zero_copy_only=False))
-            rows.append(batch.column("_vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims))
+            rows.append(batch.column("_vector").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dims))
         if not ids or not sum(map(len, ids)):
             return
         mine = np.concatenate(rows)
         most = max(float(np.abs(mine).max(initial=0)), float(np.abs(small).max(initial=0)))
-        if most**2 * dims >= 2**53:
-            raise ValueError("components are too large for exact scores")
+        if most >= 2**63:
+            raise ValueError("components are too large for scores that are longs")
+        if not dims or most**2 * dims >= 2**53:
+            yield from _plain_search(np.concatenate(ids), mine, names, points, k)
+            return
         kind = np.float32 if most**2 * dims < 2**24 else np.float64
         tree = Tree(np.concatenate(ids), mine.astype(kind))
         for lo in range(0, len(names), 512):

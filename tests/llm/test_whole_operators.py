@@ -2,7 +2,7 @@
 
 import random
 
-from tessera.llm import op5_licenses
+from tessera.llm import op5_licenses, op10_topk
 
 
 def test_licenses_of_one_shingle(spark):
@@ -20,3 +20,17 @@ def test_licenses_of_one_shingle(spark):
             rows.append((len(rows), " ".join([*filler(before), body, *filler(after)])))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(x["doc_id"], x["license"]) for x in op5_licenses.scan_licenses(docs, templates).collect()} == want
+
+
+def test_topk_of_large_and_empty_vectors(spark):
+    r = random.Random(13)
+    rows = [(i, [r.randrange(-99, 99) / 1.0 for _ in range(4)]) for i in range(60)]
+    rows += [(60, [2.0**24] * 4), (61, [2.0**24 - 1, 1.0, 0.0, 2.0**24]), (80, []), (81, []), (83, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = op10_topk.whole_vectors(df, "vec_id", "embedding", 64.0)
+    whole = {i: [int(x * 64) for x in v] for i, v in rows}
+    want = []
+    for q in (x for x in whole if x % 20 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))[:20]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
+    assert sorted(tuple(x) for x in op10_topk.topk(vectors, vectors.where("_id % 20 = 0")).collect()) == sorted(want)
