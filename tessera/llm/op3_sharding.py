@@ -1,12 +1,16 @@
 """Sharding: a uniform shuffle into shards of exact sizes, by a hypergeometric communication matrix.
 
 Rows lie in chunks (by a hash of the row, so that a retry or another split of the input finds them
-again). The number of rows that each chunk sends to each shard is drawn exactly: row by row, a
-multivariate hypergeometric draw from what the shards can still take. Each chunk is permuted by
-itself and cut by its row of the matrix, the rows are exchanged, and each shard is permuted again.
+again). The number of rows that each chunk sends to each shard is drawn exactly: the chunks are
+halved again and again, and what the first half sends to the shards is a multivariate hypergeometric
+draw from what both send. One sampler (a ratio of uniforms) serves populations of any size. Each
+chunk is permuted by itself and cut by its row of the matrix, the rows are exchanged, and each shard
+is permuted again.
 
 The matrix has at most MAX_CHUNKS rows of one count a shard, whatever the input.
 
+Rows that agree in all of `identity` lie in one chunk.
+
 Defined results: a null text has size 16 and a null checksum; a null doc_id hashes as such; rows
 that repeat are rows of their own; an empty table gives an empty result; further columns are kept
 by shard(), but for ones named shard or slot.
@@ -14,6 +18,8 @@ by shard(), but for ones named shard or slot.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,35 +33,74 @@ SHARDS = 40
 CHUNK_ROWS, MAX_CHUNKS = 1024, 1 << 16
 
 
-def communication_matrix(rows: np.ndarray, capacity: np.ndarray, seed: int) -> np.ndarray:
-    """An exact draw of the rows x shards table of counts with these margins under a uniform shuffle."""
-    draw, left = np.random.default_rng(seed), capacity.astype(np.int64).copy()
-    out = np.zeros((len(rows), len(capacity)), np.int64)
-    for i, n in enumerate(rows):
-        out[i] = _draw_row(draw, left, int(n))
-        left -= out[i]
-    return out
+#: Sides of the sampler's frame for a curve of variance 1 and what it adds for discrete ones (Stadlober 1990).
+_FRAME, _MARGIN = 2 * math.sqrt(2 / math.e), 3 - 2 * math.sqrt(3 / math.e)
+
 
+def _stirling_rest(z: np.ndarray) -> np.ndarray:
+    """log gamma(z) less (z - 1/2) log z - z + log(2 pi) / 2, for z from 1 up."""
+    small = np.array([0.0] + [math.lgamma(k) - (k - 0.5) * math.log(k) + k - 0.5 * math.log(2 * math.pi) for k in range(1, 16)])
+    r = 1 / np.maximum(z, 16)
+    series = r / 12 - r**3 / 360 + r**5 / 1260 - r**7 / 1680
+    return np.where(z < 16, small[np.minimum(z, 15).astype(np.int64)], series)
 
-def _draw_row(draw: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """One multivariate hypergeometric draw by its conditional marginals.
 
-    numpy's sampler takes populations below 1e9; beyond, a marginal's spread is so far below
-    its mean that the normal law, clipped to what is possible, stands for it.
+def _log_mass(x: np.ndarray, top: np.ndarray, good: np.ndarray, bad: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """log of the hypergeometric mass at x over that at top.
+
+    Factorials are compared pairwise, so that nothing large is subtracted: the linear parts of the
+    four pairs cancel, and of the logarithms only that of one ratio near 1 is left.
     """
-    got, total = np.zeros(len(left), np.int64), int(left.sum())
-    for j, good in enumerate(map(int, left)):
-        bad = total - good
-        if n == 0:
-            break
-        if max(good, bad) < 10**9:
-            x = int(draw.hypergeometric(good, bad, n))
-        else:
-            mean = n * (good / total)
-            spread = (mean * (bad / total) * ((total - n) / max(1, total - 1))) ** 0.5
-            x = min(good, n, max(0, n - bad, round(draw.normal(mean, spread))))
-        got[j], n, total = x, n - x, bad
-    return got
+    step = (x - top).astype(float)
+    out = np.zeros(len(x))
+    ends = []
+    for at_x, at_top, sign in ((x, top, 1), (good - x, good - top, -1), (n - x, n - top, -1), (bad - n + x, bad - n + top, 1)):
+        z, t = at_x.astype(float) + 1, at_top.astype(float) + 1
+        out += _stirling_rest(t) - _stirling_rest(z) - (t - 0.5) * np.log1p(sign * step / t)
+        ends.append(z)
+    return out - step * np.log((ends[0] / ends[1]) * (ends[3] / ends[2]))
+
+
+def hypergeometric(draw: np.random.Generator, good: np.ndarray, bad: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many good ones are among n taken from good + bad, for each entry."""
+    low, high = np.maximum(0, n - bad), np.minimum(good, n)
+    out = low.copy()
+    total = (good + bad).astype(float)
+    share = np.divide(good, total, out=np.zeros(len(total)), where=total > 0)
+    mean = n * share
+    spread = np.sqrt(mean * (1 - share) * np.maximum(0, total - n) / np.maximum(1, total - 1) + 0.5)
+    top = np.clip(np.floor((n + 1.0) * ((good + 1.0) / (total + 2))).astype(np.int64), low, high)
+    left = np.flatnonzero(high > low)
+    while len(left):
+        u, v = 1 - draw.random(len(left)), draw.random(len(left))
+        x = np.floor(mean[left] + 0.5 + (_FRAME * spread[left] + _MARGIN) * (v - 0.5) / u)
+        inside = (x >= low[left]) & (x <= high[left])
+        at, x = left[inside], x[inside].astype(np.int64)
+        taken = 2 * np.log(u[inside]) <= _log_mass(x, top[at], good[at], bad[at], n[at])
+        out[at[taken]] = x[taken]
+        again = ~inside
+        again[inside] = ~taken
+        left = left[again]
+    return out
+
+
+def communication_matrix(rows: np.ndarray, capacity: np.ndarray, seed: int) -> np.ndarray:
+    """An exact draw of the rows x shards table of counts with these margins under a uniform shuffle."""
+    draw = np.random.default_rng(seed)
+    levels = max(0, int(len(rows) - 1).bit_length())
+    padded = np.zeros(1 << levels, np.int64)
+    padded[: len(rows)] = rows
+    out = np.asarray(capacity, np.int64)[None]
+    for level in range(levels):
+        first = padded.reshape(len(out), 2, -1)[:, 0].sum(1)
+        halves = np.zeros((len(out), 2, out.shape[1]), np.int64)
+        rest, total = first, out.sum(1)
+        for j in range(out.shape[1]):
+            halves[:, 0, j] = hypergeometric(draw, out[:, j], total - out[:, j], rest)
+            rest, total = rest - halves[:, 0, j], total - out[:, j]
+        halves[:, 1] = out - halves[:, 0]
+        out = halves.reshape(-1, out.shape[1])
+    return out[: len(rows)]
 
 
 def shard(docs: DataFrame, identity: list[str], shards: int = SHARDS, seed: int = 7) -> DataFrame:
