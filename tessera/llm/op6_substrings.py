@@ -6,11 +6,15 @@ windows always meet:
 1. The anchor of a window is the least hash of its runs of ANCHOR words; equal windows have equal
    anchors. Windows of a document that follow each other and have one anchor are a segment.
 2. Anchors are counted over the whole corpus. A segment whose anchor no other segment has holds no
-   repeated window. The other anchors make a filter of bounded size (some more may pass it).
-3. Segments that pass go to the shard of their anchor, which builds a compressed FM-index (a wavelet
-   matrix over the BWT) over them and streams them through it: backward search gives the longest
-   factors that occur twice, and factors of WINDOW words or more are reported.
-4. Reported spans meet by document, and the words they cover go.
+   repeated window. The other anchors make a filter of bounded size (some more may pass it), and so
+   do the documents that have one: no other document is cut into words again.
+3. Segments that pass go to the shard of their anchor, once (twice, if they occur again) for each
+   task that meets them. Windows of an anchor that more than HOT segments have are dealt one by
+   one, by the hash of the whole window, so that no shard gets all of a frequent phrase.
+4. A shard builds an FM-index (a wavelet matrix over the BWT) over its different segments and streams
+   them through it: backward search gives the longest factors that occur twice, and factors of WINDOW
+   words or more are reported.
+5. Reported spans meet by document, and the words they cover go.
 
 Equal documents are one to all this: a document that has an equal one is removed whole if it holds
 a window. Hashes have 64 bits, of which 48 go to the shards.
@@ -28,25 +32,27 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bitfilter import bit_filter, passes
 from tessera.llm.fmindex import FMIndex, repeated_spans
-from tessera.llm.words import WordHashes, scramble, spaced_words, windows
+from tessera.llm.words import SPACED, Cut, cut_rows, fold_sums, scramble, spread, windows
 from tessera.session import materialize
 
 WINDOW = 35
 #: Words of an anchor.
-ANCHOR = 4
+ANCHOR = 8
 #: Segments aimed at in a shard.
 SHARD_SEGMENTS = 4096
+#: Segments of one anchor up to which they go to one shard.
+HOT = 1 << 16
 #: Bytes of a word's hash that a shard gets.
 WORD_BYTES = 6
 
 
 def _sliding(values: np.ndarray, wide: int, least) -> np.ndarray:
-    """least (or greatest) of each `wide` values that follow each other."""
+    """least (or greatest) of each `wide` values that follow each other; empty if there are fewer."""
     width = 1
     while width < wide:
         step = min(width, wide - width)
@@ -55,34 +61,55 @@ def _sliding(values: np.ndarray, wide: int, least) -> np.ndarray:
     return values
 
 
-def anchors(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """The anchor of each window."""
-    return _sliding(windows(hashes, ANCHOR), window - ANCHOR + 1, np.minimum)
-
-
-def anchor_times(hashes: np.ndarray, anchor: np.ndarray, first: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """2 for segments whose anchor stands at more than one place of the document that a window selects; else 1."""
-    wide = window - ANCHOR + 1
-    padded = np.concatenate([np.zeros(wide - 1, np.uint64), anchor, np.zeros(wide - 1, np.uint64)])
-    runs = windows(hashes, ANCHOR)
-    value, many = np.unique(runs[_sliding(padded, wide, np.maximum) == runs], return_counts=True)
-    return np.where(many[np.searchsorted(value, anchor[first])] > 1, 2, 1)
-
-
-def segments(anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of each segment."""
-    first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-    return first, np.diff(np.r_[first, len(anchor)])
-
-
-def document_mark(hashes: np.ndarray) -> int:
-    """64 bits that tell word sequences apart."""
-    place = scramble(np.arange(1, len(hashes) + 1, dtype=np.uint64))
-    return int(scramble((hashes * (place | np.uint64(1))).sum(dtype=np.uint64, keepdims=True)).astype(np.int64)[0])
-
-
-class _Met(set):
-    """Marks of the documents that a task has met; emptied at `most`, as repeats do no harm."""
+class Segments:
+    """The segments of some documents of a cut, those of at least a window among the chosen rows.
+
+    row, anchor, start (in words of its row), at (in words of the cut) and many (windows) by segment.
+    """
+
+    def __init__(self, cut: Cut, chosen: np.ndarray, window: int, hot: np.ndarray | None = None):
+        begin = cut.edges[:-1]
+        held = np.where(chosen, np.maximum(0, cut.counts() - window + 1), 0)
+        run = min(ANCHOR, window)
+        self.cut, self.wide = cut, window - run + 1
+        self.place = spread(begin, held)
+        row = np.repeat(np.arange(cut.rows), held)
+        self.runs = windows(cut.hashes, run)
+        self.anchors = _sliding(self.runs, self.wide, np.minimum)[self.place] if len(self.place) else np.empty(0, np.uint64)
+        if hot is not None and len(self.place) and (often := passes(hot, self.anchors)).any():
+            self.anchors = np.where(often, windows(cut.hashes, window)[self.place], self.anchors)
+        new = np.ones(len(self.place), bool)
+        new[1:] = (self.anchors[1:] != self.anchors[:-1]) | (row[1:] != row[:-1])
+        first = np.flatnonzero(new)
+        self.row, self.anchor, self.at = row[first], self.anchors[first], self.place[first]
+        self.start = self.at - begin[self.row]
+        self.many = np.diff(np.r_[first, len(row)])
+
+    def times(self) -> np.ndarray:
+        """2 for segments whose anchor stands at more than one place that their windows select; else 1.
+
+        Selected places that follow each other in a row with one value are those of one segment.
+        """
+        if not len(self.at):
+            return np.empty(0, np.int64)
+        padded = np.zeros(len(self.runs) + self.wide - 1, np.uint64)
+        padded[self.place + self.wide - 1] = self.anchors
+        padded = np.concatenate([padded, np.zeros(self.wide - 1, np.uint64)])
+        chosen = np.flatnonzero(_sliding(padded, self.wide, np.maximum)[: len(self.runs)] == self.runs)
+        row = np.searchsorted(self.cut.edges, chosen, "right")
+        new = np.ones(len(chosen), bool)
+        new[1:] = (self.runs[chosen][1:] != self.runs[chosen][:-1]) | (row[1:] != row[:-1])
+        return np.minimum(2, np.diff(np.r_[np.flatnonzero(new), len(chosen)]))
+
+
+def document_marks(cut: Cut) -> np.ndarray:
+    """64 bits for each row that tell word sequences apart."""
+    place = scramble(np.arange(1, len(cut.hashes) + 1, dtype=np.uint64) - np.repeat(cut.edges[:-1], cut.counts()).astype(np.uint64))
+    return scramble(fold_sums(cut.hashes * (place | np.uint64(1)), cut.edges)).view(np.int64)
+
+
+class Met(set):
+    """What a task has met; emptied at `most`, as repeats do no harm."""
 
     def new(self, mark: int, most: int = 1_000_000) -> bool:
         if mark in self:
@@ -93,166 +120,207 @@ class _Met(set):
         return True
 
 
+def _lists(values: np.ndarray, many: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), pa.array(values))
+
+
 def _profiles(docs: DataFrame, window: int) -> DataFrame:
-    """Of each row doc_id, n_words, mark (null below a window) and the digest of its words; and anchors."""
+    """Of each row doc_id, n, mark (null below a window), the digest of its words, and its anchors.
+
+    An anchor stands twice for a segment that may repeat by itself; rows that a task has met have none.
+    """
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, met = WordHashes(), _Met()
+        met = Met()
         for batch in batches:
-            n, marks, digests, found, times = [], [], [], [], []
-            for value in batch.column("_raw"):
-                words = spaced_words(value.as_py())
-                n.append(len(words))
-                digests.append(hashlib.sha256(b" ".join(words)).digest())
-                marks.append(None)
-                if len(words) >= window:
-                    own = hashes.of(words)
-                    marks[-1] = document_mark(own)
-                    if met.new(marks[-1]):
-                        anchor = anchors(own, window)
-                        first, _ = segments(anchor)
-                        found.append(anchor[first])
-                        # windows of one segment may repeat among themselves
-                        times.append(anchor_times(own, anchor, first, window))
-            none = pa.nulls(len(n), pa.int64())
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "mark": pa.array(marks, pa.int64()), "digest": pa.array(digests, pa.binary()), "anchor": none, "times": none})
-            if found:
-                anchor, many = np.concatenate(found).view(np.int64), np.concatenate(times)
-                none = pa.nulls(len(anchor), pa.int64())
-                yield pa.record_batch({"doc_id": none, "n": none, "mark": none, "digest": pa.nulls(len(anchor), pa.binary()), "anchor": pa.array(anchor), "times": pa.array(many, pa.int64())})
-
-    return docs.mapInArrow(profile, "doc_id long, n long, mark long, digest binary, anchor long, times long")
-
-
-def _segments(docs: DataFrame, passing: np.ndarray, shards: int, window: int) -> DataFrame:
-    """shard, mark, start and words of the segments whose anchors pass."""
+            for cut in cut_rows(batch.column("_raw"), SPACED):
+                n, marks = cut.counts(), document_marks(cut)
+                fresh = np.fromiter((k >= window and met.new(m) for k, m in zip(n.tolist(), marks.tolist(), strict=True)), bool, cut.rows)
+                found = Segments(cut, fresh, window)
+                times = found.times()
+                text, at = cut.joined()
+                view, at = memoryview(text), at.tolist()
+                yield pa.record_batch(
+                    {
+                        "doc_id": batch.column("doc_id").slice(cut.first, cut.rows),
+                        "n": pa.array(n, pa.int64()),
+                        "mark": pa.array(marks, mask=n < window),
+                        "digest": pa.array([hashlib.sha256(view[a:b]).digest() for a, b in zip(at, at[1:], strict=False)], pa.binary()),
+                        "anchors": _lists(np.repeat(found.anchor, times).view(np.int64), np.bincount(found.row, times, cut.rows).astype(np.int64)),
+                    }
+                )
+
+    return docs.mapInArrow(profile, "doc_id long, n long, mark long, digest binary, anchors array<long>")
+
+
+def _asked(batch: pa.RecordBatch, bits: np.ndarray) -> pa.Array:
+    """The texts of the rows whose keys pass."""
+    return batch.column("_raw").filter(pa.array(passes(bits, batch.column("_key").to_numpy())))
+
+
+def _segments(docs: DataFrame, keys: np.ndarray, passing: np.ndarray, hot: np.ndarray | None, window: int) -> DataFrame:
+    """The segments whose anchors pass: anchor, fp (of the words), mark, start, words and turn.
+
+    The first of equal segments that a task meets has words; turn is 1 there, 2 for the next, else null.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, met = WordHashes(), _Met()
+        met, seen = Met(), {}
         for batch in batches:
-            shard, marks, starts, texts = [], [], [], []
-            for value in batch.column("_raw"):
-                words = spaced_words(value.as_py())
-                if len(words) < window:
+            for cut in cut_rows(_asked(batch, keys), SPACED):
+                marks = document_marks(cut)
+                fresh = np.fromiter((k >= window and met.new(m) for k, m in zip(cut.counts().tolist(), marks.tolist(), strict=True)), bool, cut.rows)
+                found = Segments(cut, fresh, window)
+                keep = passes(passing, found.anchor)
+                if not keep.any():
                     continue
-                own = hashes.of(words)
-                mark = document_mark(own)
-                if not met.new(mark):
-                    continue
-                anchor = anchors(own, window)
-                first, many = segments(anchor)
-                keep = passes(passing, anchor[first])
-                first, many = first[keep], many[keep]
-                if len(first):
-                    short = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
-                    shard.append((scramble(anchor[first]) % np.uint64(shards)).astype(np.int64))
-                    marks.append(np.full(len(first), mark))
-                    starts.append(first)
-                    texts += [short[b * WORD_BYTES : e * WORD_BYTES] for b, e in zip(first.tolist(), (first + many + window - 1).tolist(), strict=True)]
-            if texts:
-                yield pa.record_batch({"shard": pa.array(np.concatenate(shard)), "mark": pa.array(np.concatenate(marks)), "start": pa.array(np.concatenate(starts), pa.int32()), "words": pa.array(texts, pa.binary())})
-
-    return docs.select("_raw").mapInArrow(emit, "shard long, mark long, start int, words binary")
-
-
-def search_shard(texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which of these segments (bytes of word hashes) hold repeated spans: segment, begin, end."""
-    many: dict[bytes, int] = {}
-    for x in texts:
-        many[x] = many.get(x, 0) + 1
-    place = {x: i for i, x in enumerate(many)}
+                if hot is not None:
+                    often = passes(hot, found.anchor)
+                    if (keep & often).any():
+                        # windows keep their anchor's right to pass
+                        found = Segments(cut, fresh, window, hot)
+                        keep = passes(passing, _sliding(found.runs, found.wide, np.minimum)[found.at])
+                at, size = found.at[keep], found.many[keep] + window - 1
+                ends = np.cumsum(size)
+                fp = document_marks(_Rows(cut.hashes[spread(at, size)], np.r_[0, ends]))
+                short = np.ascontiguousarray(cut.hashes.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
+                if len(seen) > 250_000:
+                    seen.clear()
+                turn, texts = [], []
+                for f, a, k in zip(fp.tolist(), at.tolist(), size.tolist(), strict=True):
+                    seen[f] = t = seen.get(f, 0) + 1
+                    turn.append(t if t < 3 else None)
+                    texts.append(short[a * WORD_BYTES : (a + k) * WORD_BYTES] if t == 1 else None)
+                yield pa.record_batch(
+                    {
+                        "anchor": pa.array(found.anchor[keep].view(np.int64)),
+                        "fp": pa.array(fp),
+                        "mark": pa.array(marks[found.row[keep]]),
+                        "start": pa.array(found.start[keep], pa.int32()),
+                        "words": pa.array(texts, pa.binary()),
+                        "turn": pa.array(turn, pa.int32()),
+                    }
+                )
+
+    return docs.select("_key", "_raw").mapInArrow(emit, "anchor long, fp long, mark long, start int, words binary, turn int")
+
+
+class _Rows:
+    """Hashes of words in rows, as a cut has them."""
+
+    def __init__(self, hashes: np.ndarray, edges: np.ndarray):
+        self.hashes, self.edges = hashes, edges
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.edges)
+
+
+def search_shard(texts: list[bytes], many: list[int], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Repeated spans of different segments (bytes of word hashes) that occur `many` times: segment, begin, end."""
     # what occurs more than once stands in the index twice, which is all that is asked
-    indexed = [x for x, n in many.items() for _ in range(min(n, 2))]
-    raw = np.frombuffer(b"".join(indexed), np.uint8).reshape(-1, WORD_BYTES)
+    twice = np.minimum(np.array(many), 2)
+    raw = np.frombuffer(b"".join(x for x, n in zip(texts, twice.tolist(), strict=True) for _ in range(n)), np.uint8).reshape(-1, WORD_BYTES)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, :WORD_BYTES] = raw
     different, ids = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
-    sizes = np.array([len(x) // WORD_BYTES for x in indexed])
+    sizes = np.repeat(np.array([len(x) // WORD_BYTES for x in texts]), twice)
     ends = np.cumsum(sizes + 1) - 1
     text = np.ones(int(sizes.sum()) + len(sizes), np.int64)  # 1 parts the segments
     inside = np.ones(len(text), bool)
     inside[ends] = False
     text[inside] = ids + 2
     index = FMIndex(text, len(different) + 2)
-    asked = np.concatenate([[0], np.cumsum([min(n, 2) for n in many.values()])[:-1]])
+    asked = np.cumsum(twice) - twice
     begins = (ends - sizes)[asked]
     query, low, high = repeated_spans(index, text, begins, ends[asked], window)
-    low, high = low - begins[query], high - begins[query]
-    # back from different texts to segments
-    order = np.argsort(query, kind="stable")
-    query, low, high = query[order], low[order], high[order]
-    left, right = np.searchsorted(query, np.arange(len(many)), "left"), np.searchsorted(query, np.arange(len(many)), "right")
-    of = np.array([place[x] for x in texts])
-    count = right[of] - left[of]
-    total = int(count.sum())
-    at = np.arange(total) - np.repeat(count.cumsum() - count, count) + np.repeat(left[of], count)
-    return np.repeat(np.arange(len(texts)), count), low[at], high[at]
+    return query, low - begins[query], high - begins[query]
 
 
-def _spans(segs: DataFrame, window: int) -> DataFrame:
-    """mark and spans (flat: begin, end, begin, end) of documents with repeated windows."""
+def _spans(segs: DataFrame, shards: int, window: int) -> DataFrame:
+    """mark and spans (low, high) of documents with repeated windows."""
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["mark", "start"])
-        which, low, high = search_shard(pdf["words"].tolist(), window)
-        start = pdf["start"].to_numpy()[which]
-        return pd.DataFrame({"mark": pdf["mark"].to_numpy()[which], "low": start + low, "high": start + high})
+        many = pdf.groupby("fp").size()
+        own = pdf[pdf["words"].notna()].drop_duplicates("fp")
+        fp = own["fp"].to_numpy()
+        which, low, high = search_shard(own["words"].tolist(), many.loc[fp].tolist(), window)
+        return pd.DataFrame({"of": fp[which], "low": low, "high": high})
 
-    found = segs.groupBy("shard").applyInPandas(search, "mark long, low int, high int")
-    return found.groupBy("mark").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    dealt = segs.where("turn IS NOT NULL").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "fp", "words")
+    found = dealt.groupBy("shard").applyInPandas(search, "of long, low int, high int")
+    by_fp = found.groupBy("of").agg(F.collect_list(F.struct("low", "high")).alias("own"))
+    placed = segs.select("fp", "mark", "start").join(by_fp, F.col("fp") == F.col("of"))
+    spans = F.transform("own", lambda x: F.struct((F.col("start") + x["low"]).alias("low"), (F.col("start") + x["high"]).alias("high")))
+    return placed.groupBy("mark").agg(F.flatten(F.collect_list(spans)).alias("spans"))
 
 
-def _trimmed(docs: DataFrame, spans: DataFrame, passing: np.ndarray, window: int) -> DataFrame:
-    """mark, removed and the digest of what is kept, of documents with spans."""
+def _trimmed(docs: DataFrame, spans: DataFrame, window: int) -> DataFrame:
+    """mark, removed and the digest of what is kept, of documents with spans (_key, mark, spans)."""
+    keys, passing = bit_filter(spans, "_key"), bit_filter(spans, "mark")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, met = WordHashes(), _Met()
+        met = Met()
         for batch in batches:
-            marks, texts = [], []
-            for value in batch.column("_raw"):
-                words = spaced_words(value.as_py())
-                if len(words) >= window:
-                    mark = document_mark(hashes.of(words))
-                    if passes(passing, np.array([mark]))[0] and met.new(mark):
-                        marks.append(mark)
-                        texts.append(b" ".join(words))
-            if marks:
-                yield pa.record_batch({"mark": pa.array(marks, pa.int64()), "words": pa.array(texts, pa.binary())})
+            for cut in cut_rows(_asked(batch, keys), SPACED):
+                marks = document_marks(cut)
+                wanted = (passes(passing, marks) & (cut.counts() >= window)).tolist()
+                text, at = cut.joined()
+                found = [(m, text[a:b]) for m, w, a, b in zip(marks.tolist(), wanted, at[:-1].tolist(), at[1:].tolist(), strict=True) if w and met.new(m)]
+                if found:
+                    yield pa.record_batch({"mark": pa.array([m for m, _ in found], pa.int64()), "words": pa.array([t for _, t in found], pa.binary())})
 
     def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, digests = [], []
-            for text, own in zip(batch.column("words"), batch.column("spans"), strict=True):
+            spans = batch.column("spans")
+            low, high = (spans.flatten().field(x).to_numpy() for x in ("low", "high"))
+            at = np.r_[0, np.cumsum(spans.value_lengths().to_numpy())].tolist()
+            for text, a, b in zip(batch.column("words"), at, at[1:], strict=False):
                 words = text.as_py().split(b" ")
-                edge = np.zeros(len(words) + 1, np.int32)
-                for x in own.as_py():
-                    edge[x["low"]] += 1
-                    edge[x["high"]] -= 1
+                edge = np.bincount(low[a:b], minlength=len(words) + 1) - np.bincount(high[a:b], minlength=len(words) + 1)
                 gone = np.cumsum(edge[:-1]) > 0
                 removed.append(int(gone.sum()))
-                digests.append(hashlib.sha256(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)).digest())
+                digests.append(hashlib.sha256(b" ".join([words[i] for i in np.flatnonzero(~gone).tolist()])).digest())
             yield pa.record_batch({"mark": batch.column("mark"), "removed": pa.array(removed, pa.int64()), "kept": pa.array(digests, pa.binary())})
 
-    picked = docs.select("_raw").mapInArrow(pick, "mark long, words binary")
-    joined = picked.join(spans, "mark").select("mark", "words", "spans")
+    picked = docs.select("_key", "_raw").mapInArrow(pick, "mark long, words binary")
+    joined = picked.join(spans.select("mark", "spans"), "mark").select("mark", "words", "spans")
     return joined.mapInArrow(trim, "mark long, removed long, kept binary").dropDuplicates(["mark"])
 
 
-def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def _keys_with(profiles: DataFrame, passing: np.ndarray) -> DataFrame:
+    """_key of the rows that have an anchor that passes."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchors = batch.column("anchors")
+            row = np.repeat(np.arange(batch.num_rows), anchors.value_lengths().fill_null(0).to_numpy())
+            rows = np.unique(row[passes(passing, anchors.flatten().to_numpy())])
+            yield pa.record_batch({"_key": batch.column("_key").take(pa.array(rows))})
+
+    return profiles.where("size(anchors) > 0").select(_key(), "anchors").mapInArrow(pick, "_key long")
+
+
+def _key() -> Column:
+    """What tells rows whose texts are asked for from the others; rows of one doc_id have one."""
+    return F.xxhash64("doc_id").alias("_key")
+
+
+def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of each row of docs."""
     raw = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("_raw"))
-    both = materialize(_profiles(raw, window), "profiles")
-    profiles = both.where("n IS NOT NULL").select("doc_id", "n", "mark", "digest")
-    repeated = materialize(both.where("anchor IS NOT NULL").groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1"), "anchors")
-    total = repeated.agg(F.sum("times")).first()[0] or 0
-    segs = _segments(raw, bit_filter(repeated, "anchor"), max(1, -(-total // SHARD_SEGMENTS)), window)
-    copies = profiles.where("mark IS NOT NULL").groupBy("mark").agg(F.count("*").alias("copies"), F.min("n").alias("n"))
-    spans = materialize(_spans(segs, window), "spans")
-    single = copies.where("copies = 1").select("mark")
-    wanted = materialize(spans.join(single, "mark", "left_semi"), "wanted")
-    trimmed = _trimmed(raw, wanted, bit_filter(wanted, "mark"), window)
+    profiles = materialize(_profiles(raw, window), "profiles")
+    counted = profiles.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("times"))
+    repeated = materialize(counted.where("times > 1"), "anchors")
+    passing, often = bit_filter(repeated, "anchor"), repeated.where(F.col("times") > hot)
+    keys = bit_filter(materialize(_keys_with(profiles, passing), "keys"), "_key")
+    keyed = raw.select(_key(), "_raw")
+    segs = materialize(_segments(keyed, keys, passing, bit_filter(often, "anchor") if often.head(1) else None, window), "segments")
+    spans = materialize(_spans(segs, max(1, -(-segs.count() // SHARD_SEGMENTS)), window), "spans")
+    copies = profiles.where("mark IS NOT NULL").groupBy("mark").agg(F.count("*").alias("copies"), F.min("n").alias("n"), F.min(_key()).alias("_key"))
+    wanted = materialize(spans.join(copies.where("copies = 1").select("mark", "_key"), "mark"), "wanted")
     nothing = F.lit(hashlib.sha256(b"").digest())
-    changed = trimmed.unionByName(copies.where("copies > 1").select("mark", F.col("n").alias("removed"), nothing.alias("kept")))
+    changed = _trimmed(keyed, wanted, window).unionByName(copies.where("copies > 1").select("mark", F.col("n").alias("removed"), nothing.alias("kept")))
     changed = changed.withColumnRenamed("mark", "of")
     return profiles.join(changed, F.col("mark") == F.col("of"), "left").select(
         "doc_id",
