@@ -3,15 +3,18 @@ r"""License scans: MinHash bands over overlapping text windows, then exact shing
 Native: DataFrame expressions only.
 
 Texts are lower-cased (A-Z) and cut into words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`; five words are a
-shingle, fewer words are one. A window is SPAN shingles, one begins at every STEP-th; the first begins
-before the text and the last reaches beyond it, so that each shingle lies in two. Documents and
-templates are windowed alike. Each of BANDS bands has one MinHash: the least of the window's shingle
-hashes, mixed with the band's mask by xxhash64. A template of one shingle is the least in one of its two
-windows with probability 1/4 + 1/4 - 1/6 = 1/3 if it stands among others (1/2 at the ends), so that
-BANDS = 96 miss it with (2/3)**96, about 1e-17; longer templates have more windows. Windows that hold
-no shingle of any template share no band with one, as the mixing is one-to-one, and get no bands.
-Windows that share a band with a template retrieve it, and it is a match if at least CONTAINED of its
-different shingles stand in the document.
+shingle, fewer words are one. A window is two shingles that follow each other (the first and the last one
+also make a window by themselves), so that each shingle lies in two windows. Documents and templates are
+windowed alike. Each of BANDS bands has one MinHash: the least of the window's shingle hashes, mixed
+with the band's mask by xxhash64. A shingle of the document that a template has too is, in one band, the
+least of one of its two windows there and here with probability of at least 8/15 (the integral of
+(1 - u**2)**2, if all neighbours differ; 2/3 for templates of one shingle), so that all BANDS = 16
+miss it with 5e-6 at most (2e-8 for one shingle), and miss a template that has more of them less often.
+
+1. Bands come first: a window whose values a Bloom filter of the templates' values doesn't know is
+   dropped where it is made, the others are joined with the index of values and retrieve templates.
+2. Then the document's shingles (a long one in parts of PART) are intersected with those of the
+   templates that were retrieved, and it is a match if it holds at least CONTAINED of a template's.
 
 Rows are (document, template) matches. Defined results: null and empty texts match nothing; rows
 that repeat give one match; a null doc_id is kept; templates without words are no templates; an
@@ -21,27 +24,44 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WIDTH, SPAN, STEP, BANDS, CONTAINED = 5, 4, 2, 96, 0.75
-#: Templates that one pass looks for; more take more passes.
-BLOCK_TEMPLATES = 200
+WIDTH, BANDS, CONTAINED = 5, 16, 0.75
+#: Shingles of the templates of one pass, which bounds its index; more templates take more passes.
+BLOCK_SHINGLES = 50_000
+#: Shingles of a part of a document.
+PART = 4096
+#: Probes of the Bloom filter, and its bits for each value.
+PROBES, BITS_EACH = 3, 48
 
-# Notices by which licenses are named or granted.
+# Texts by which licenses are named or granted.
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("apache-2.0-header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("gpl-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("gpl-2.0-header", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("agpl-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
     ("mit", "Released under the MIT License."),
     ("mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("bsd-grant", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("cc0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
-    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"),
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,7 +71,7 @@ _MASKS = [((0x9E3779B97F4A7C15 * (2 * b + 1)) % 2**64) - 2**63 for b in range(BA
 
 def _words(text: Column) -> Column:
     plain = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.filter(F.split(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
+    return F.array_remove(F.split(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
 # Each step is a projection of its own: what a lambda refers to must be a column, or it is
@@ -65,55 +85,80 @@ def _shingles(words: Column) -> Column:
 
 
 def _windows(shingles: Column) -> Column:
-    """Null entries stand for places outside the text."""
-    starts = F.sequence(F.lit(STEP - SPAN), F.size(shingles) - 1, F.lit(STEP))
-    window = F.transform(starts, lambda i: F.struct(*[F.get(shingles, i + k).alias(f"s{k}") for k in range(SPAN)]))
-    return F.when(F.size(shingles) > 0, window)
+    """Pairs (a, b) of neighbours, the first and the last with themselves."""
+    return F.arrays_zip(F.concat(F.slice(shingles, 1, 1), shingles).alias("a"), F.concat(shingles, F.slice(shingles, -1, 1)).alias("b"))
 
 
 def _band(b: int) -> Column:
-    places = [F.col(f"_window.s{k}") for k in range(SPAN)]
-    return F.least(*[F.when(s.isNotNull(), F.xxhash64(s.bitwiseXOR(F.lit(_MASKS[b])))) for s in places])
+    return F.least(*[F.xxhash64(F.col(f"_window.{side}").bitwiseXOR(F.lit(_MASKS[b]))) for side in ("a", "b")])
 
 
-def _banded(windowed: DataFrame, *kept: str) -> DataFrame:
-    return windowed.select(*kept, *[_band(b).alias(f"_b{b}") for b in range(BANDS)])
+def _bands() -> Column:
+    return F.array(*[F.struct(F.lit(b).alias("band"), _band(b).alias("value")) for b in range(BANDS)])
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id", text: str = "text", contained: float = CONTAINED) -> DataFrame:
-    """doc_id, license, shared and shingles: the template's different shingles, and those in the document."""
-    parts = None
-    for at in range(0, max(1, len(templates)), BLOCK_TEMPLATES):
-        part = _scan_block(docs, templates[at : at + BLOCK_TEMPLATES], doc_id, text, contained)
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+def _places(value: int, bits: int) -> list[int]:
+    return [(value >> (64 // PROBES * p)) & (bits - 1) for p in range(PROBES)]
+
+
+def _known(value: Column, filled: Column, bits: int) -> Column:
+    """Whether the Bloom filter (an array of longs) may know the value."""
+
+    def one(p: int) -> Column:
+        place = F.shiftrightunsigned(value, 64 // PROBES * p).bitwiseAND(F.lit(bits - 1))
+        word = F.get(filled, F.shiftright(place, 6).cast("int"))
+        return F.call_function("shiftright", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
+    return reduce(and_, [one(p) for p in range(PROBES)])
 
-def _scan_block(docs: DataFrame, templates, doc_id: str, text: str, contained: float) -> DataFrame:
+
+def scan_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id", text: str = "text", contained: float = CONTAINED, block: int = BLOCK_SHINGLES, part: int = PART) -> DataFrame:
+    """doc_id, license, shared and shingles: the template's different shingles, and those in the document."""
     spark = docs.sparkSession
     named = spark.createDataFrame([tuple(t) for t in templates], "license string, body string")
-    named = named.select("license", _words(F.col("body")).alias("_words")).select("license", _shingles(F.col("_words")).alias("_all"))
-    bands = _banded(named.select("license", F.array_distinct("_all").alias("_wanted"), F.explode(_windows(F.col("_all"))).alias("_window")), "license", "_wanted").collect()
-    wanted = sorted({h for r in bands for h in r["_wanted"]})
-    rows = sorted({(b, r[f"_b{b}"], r["license"], tuple(r["_wanted"])) for r in bands for b in range(BANDS)})
-    index = spark.createDataFrame([(b, v, name, list(w)) for b, v, name, w in rows], "_band int, _value long, license string, _wanted array<bigint>")
-
-    worded = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _words(F.col(f"`{text}`")).alias("_words"))
-    hashed = worded.select("doc_id", _shingles(F.col("_words")).alias("_shingles"))
-    # below the explode, which else computes what stands beside it for each window
-    held = hashed.select("doc_id", "_shingles", F.array_distinct(F.filter("_shingles", lambda h: h.isin(wanted))).alias("_held"))
-    windowed = held.select("doc_id", "_held", F.explode(F.when(F.size("_held") > 0, _windows(F.col("_shingles")))).alias("_window"))
-    asked = windowed.where(reduce(or_, [F.col(f"_window.s{k}").isin(wanted) for k in range(SPAN)]))
-    banded = _banded(asked, "doc_id", "_held")
-    bands_of = F.explode(F.array(*[F.struct(F.lit(b).alias("_of"), F.col(f"_b{b}").alias("_min")) for b in range(BANDS)])).alias("_at")
-    retrieved = banded.select("doc_id", "_held", bands_of)
-    found = retrieved.join(F.broadcast(index), (F.col("_at._of") == F.col("_band")) & (F.col("_at._min") == F.col("_value")))
-    shared = F.size(F.array_intersect("_held", "_wanted"))
-    return (
-        found.select("doc_id", "license", shared.cast("long").alias("shared"), F.size("_wanted").cast("long").alias("shingles"))
-        .where(F.col("shared") >= F.lit(contained) * F.col("shingles"))
-        .distinct()
-    )
+    named = named.select("license", _words(F.col("body")).alias("_words")).where("size(_words) > 0").select("license", _shingles(F.col("_words")).alias("_all"))
+    windowed = named.select("license", F.array_distinct("_all").alias("_wanted"), F.explode(_windows(F.col("_all"))).alias("_window"))
+    rows = windowed.select("license", "_wanted", _bands().alias("_bands")).collect()  # the templates, which the caller gave
+    blocks: list[dict] = [{}]
+    size = 0
+    for row in rows:
+        key = (row["license"], tuple(row["_wanted"]))
+        if key not in blocks[-1] and size and size + len(key[1]) > block:
+            blocks.append({})
+            size = 0
+        size += len(key[1]) * (key not in blocks[-1])
+        blocks[-1].setdefault(key, set()).update((b["band"], b["value"]) for b in row["_bands"])
+    return reduce(DataFrame.unionByName, [_scan_block(docs, b, doc_id, text, contained, part) for b in blocks])
+
+
+def _scan_block(docs: DataFrame, templates: dict, doc_id: str, text: str, contained: float, part: int) -> DataFrame:
+    """templates: the (band, value) pairs of (license, different shingles)."""
+    spark = docs.sparkSession
+    wanted = spark.createDataFrame([(i, name, list(w)) for i, (name, w) in enumerate(templates)], "_template int, license string, _wanted array<bigint>")
+    values = {x for own in templates.values() for x in own}
+    index = spark.createDataFrame(sorted((i, b, v) for i, own in enumerate(templates.values()) for b, v in own), "_of int, _band int, _value long")
+    bits = 1 << max(10, (BITS_EACH * len(values)).bit_length())
+    words = [0] * (bits // 64)
+    for _, v in values:
+        for place in _places(v % 2**64, bits):
+            words[place // 64] |= 1 << place % 64
+    filled = spark.createDataFrame([([w - 2**64 if w >> 63 else w for w in words],)], "bits array<bigint>").scalar()
+
+    own = F.col(f"`{text}`")
+    worded = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{doc_id}`"), own).alias("_row"), _words(own).alias("_words"))
+    hashed = worded.where("size(_words) > 0").select("doc_id", "_row", _shingles(F.col("_words")).alias("_shingles"))
+    starts = F.sequence(F.lit(1), F.size("_shingles"), F.lit(part))
+    parts = F.transform(starts, lambda i: F.slice(F.col("_shingles"), i, F.lit(part)))
+    parted = hashed.select("doc_id", "_row", F.posexplode(parts).alias("_part", "_held"))
+    windows = parted.select("doc_id", "_row", "_part", "_held", F.explode(_windows(F.col("_held"))).alias("_window"))
+    asked = windows.where(reduce(or_, [_known(_band(b), filled, bits) for b in range(BANDS)]))
+    banded = asked.select("doc_id", "_row", "_part", "_held", F.explode(_bands()).alias("_at"))
+    found = banded.join(F.broadcast(index), (F.col("_at.band") == F.col("_band")) & (F.col("_at.value") == F.col("_value")))
+    retrieved = found.groupBy("doc_id", "_row", "_part", "_of").agg(F.first("_held").alias("_held"))
+    both = retrieved.join(F.broadcast(wanted), F.col("_of") == F.col("_template"))
+    shared = both.select("doc_id", "_row", "license", F.size("_wanted").cast("long").alias("shingles"), "_template", F.explode(F.array_intersect("_held", "_wanted")).alias("_shingle"))
+    counted = shared.groupBy("doc_id", "_row", "_template", "license", "shingles").agg(F.count_distinct("_shingle").alias("shared"))
+    return counted.where(F.col("shared") >= F.lit(contained) * F.col("shingles")).select("doc_id", "license", "shared", "shingles").distinct()
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
