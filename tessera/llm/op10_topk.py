@@ -1,18 +1,20 @@
 """Exact top-k search by inner product: a KD-tree in each shard.
 
-Components are first turned into integers, floor(scale * x). A shard's tree is split at medians of
-its widest component down to leaves, and each leaf keeps the tight box of its vectors. A query
-visits leaves best first, by the largest inner product that a point of the box could have, and
-stops where that bound is below its kth score. That kth score is propagated: it starts as the kth
-best among the query block itself, which the driver knows, and rises from leaf to leaf. Queries
-come in blocks of at most BLOCK; the shards' results meet by query.
+Components are first turned into integers, floor(scale * x). The vectors are dealt evenly into shards,
+and each shard's tree, split at medians of its widest component and with a tight box at every node, is
+written once. A query goes through a tree best first: of the nodes that it has reached it opens the one
+whose box allows the largest inner product, and it stops where that bound is below its kth score.
+
+Queries are rows too: blocks of them meet the shards in waves, each wave with three times as many shards
+as all before it. Every block has begun in another shard, and the kth scores that a wave leaves are what
+the next wave's traversals start from. Neither vectors nor queries pass through the driver.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; vectors
 are compared with those of their own length; a null id is no query and no candidate; rows that
-repeat an id are candidates of their own, but for the query's own id; an empty table or one vector
-gives an empty result; vectors without components have the score 0 with each other; components so
-large that float64 scores might not be exact are scored as Python integers, and components or
-scores beyond a long end the query; other columns are ignored.
+repeat an id are candidates of their own, but for the query's own id, and queries of their own, each
+with its ranks; an empty table or one vector gives an empty result; vectors without components have
+the score 0 with each other; components so large that float64 scores might not be exact are scored as
+Python integers, and components or scores beyond a long end the query; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,75 +23,87 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
 K, SCALE, EVERY = 20, 64.0, 20
-#: Queries that a task holds at once, rows of a leaf, and rows aimed at in a shard.
-BLOCK, LEAF, SHARD_ROWS = 4096, 64, 8192
+#: Queries of a block, rows of a leaf, rows aimed at in a shard, and bytes that a block or a tree has at most.
+BLOCK, LEAF, SHARD_ROWS, MOST_BYTES = 4096, 128, 8192, 1 << 25
+#: Tasks that a wave is dealt over at most.
+WAVE_TASKS = 10_000
 
 
 class Tree:
-    """Median splits of the widest component, tight boxes; leaves are runs of the ordered rows."""
+    """Median splits of the widest component; nodes have tight boxes, leaves are runs of the ordered rows."""
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, leaf: int = LEAF):
-        order, self.leaves = np.arange(len(ids)), []
-        stack = [(0, len(ids))]
+        order = np.arange(len(ids))
+        spans, children, stack = [(0, len(ids))], [(-1, -1)], [0]
+        low, high = [None], [None]
         while stack:
-            lo, hi = stack.pop()
-            if hi - lo <= leaf:
-                self.leaves.append((lo, hi))
-                continue
+            node = stack.pop()
+            lo, hi = spans[node]
             own = points[order[lo:hi]]
-            axis = int(np.argmax(own.max(0) - own.min(0)))
-            middle = (hi - lo) // 2
-            order[lo:hi] = order[lo:hi][np.argpartition(own[:, axis], middle)]
-            stack += [(lo, lo + middle), (lo + middle, hi)]
-        self.ids, self.points = ids[order], points[order]
-        self.low = np.array([self.points[lo:hi].min(0) for lo, hi in self.leaves])
-        self.high = np.array([self.points[lo:hi].max(0) for lo, hi in self.leaves])
-
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """The largest inner product of each query with any point of each leaf's box."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+            low[node], high[node] = own.min(0), own.max(0)
+            if hi - lo > leaf:
+                axis, middle = int(np.argmax(high[node] - low[node])), (hi - lo) // 2
+                order[lo:hi] = order[lo:hi][np.argpartition(own[:, axis], middle)]
+                children[node] = len(spans), len(spans) + 1
+                stack += children[node]
+                spans += [(lo, lo + middle), (lo + middle, hi)]
+                children += [(-1, -1)] * 2
+                low += [None, None]
+                high += [None, None]
+        self.ids, self.points, self.spans = ids[order], points[order], spans
+        self.children, self.low, self.high = np.array(children), np.array(low), np.array(high)
 
     def search(self, names: np.ndarray, queries: np.ndarray, kth: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows of (query, id, score) that hold every one of a query's k best that beats or ties kth."""
-        best = np.full((len(names), k), -np.inf)
-        best_id = np.full((len(names), k), np.iinfo(np.int64).max)
-        bounds = self.bounds(queries)
-        visit = np.argsort(-bounds, axis=1, kind="stable")
-        kth = kth.astype(np.float64).copy()
-        active = np.arange(len(names))
-        for turn in range(len(self.leaves)):
-            leaf = visit[active, turn]
-            active = active[bounds[active, leaf] >= kth[active]]
-            if not len(active):
-                break
-            leaf = visit[active, turn]
+        best, best_id = np.full((len(names), k), -np.inf), np.full((len(names), k), np.iinfo(np.int64).max)
+        # the largest inner product of each query with any point of each node's box
+        bounds = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        reached = np.full(bounds.shape, -np.inf, bounds.dtype)
+        reached[:, 0] = bounds[:, 0]
+        kth, active = kth.astype(np.float64).copy(), np.arange(len(names))
+        while len(active):
+            node = reached[active].argmax(1)
+            bound = reached[active, node]
+            go_on = (bound >= kth[active]) & (bound > -np.inf)
+            active, node = active[go_on], node[go_on]
+            reached[active, node] = -np.inf
+            inner = self.children[node, 0] >= 0
+            for side in (0, 1):
+                child = self.children[node[inner], side]
+                reached[active[inner], child] = bounds[active[inner], child]
+            who, leaf = active[~inner], node[~inner]
             by_leaf = np.argsort(leaf, kind="stable")
-            cuts = np.flatnonzero(np.diff(leaf[by_leaf])) + 1
-            for part in np.split(by_leaf, cuts):
-                lo, hi = self.leaves[leaf[part[0]]]
-                who = active[part]
-                scores = queries[who] @ self.points[lo:hi].T
-                ids = np.broadcast_to(self.ids[lo:hi], scores.shape)
-                scores = np.where((ids == names[who][:, None]) | (scores < kth[who][:, None]), -np.inf, scores)
-                both, both_id = np.concatenate([best[who], scores], 1), np.concatenate([best_id[who], ids], 1)
-                both_id = np.where(np.isneginf(both), np.iinfo(np.int64).max, both_id)
-                first = np.lexsort((both_id, -both), axis=1)[:, :k]
-                best[who], best_id[who] = np.take_along_axis(both, first, 1), np.take_along_axis(both_id, first, 1)
-            kth = np.maximum(kth, best[:, -1])
+            for part in np.split(by_leaf, np.flatnonzero(np.diff(leaf[by_leaf])) + 1) if len(leaf) else ():
+                self._visit(int(leaf[part[0]]), who[part], names, queries, kth, best, best_id, k)
         q, j = np.nonzero(~np.isneginf(best))
         return q, best_id[q, j], best[q, j]
 
-
-def _exact(matrix: np.ndarray) -> bool:
-    """float64 products of these integers are exact."""
-    return matrix.size == 0 or float(np.abs(matrix).max()) ** 2 * matrix.shape[1] < 2**53
+    def _visit(self, leaf: int, who: np.ndarray, names, queries, kth, best, best_id, k: int) -> None:
+        """Put a leaf's points among the best of these queries, as far as they beat or tie kth."""
+        lo, hi = self.spans[leaf]
+        scores, ids = queries[who] @ self.points[lo:hi].T, self.ids[lo:hi]
+        row, col = np.nonzero((scores >= kth[who][:, None]) & (ids != names[who][:, None]))
+        if not len(row):
+            return
+        count = np.bincount(row, minlength=len(who))
+        some = np.flatnonzero(count)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        new, new_id = np.full((len(who), count.max()), -np.inf), np.full((len(who), count.max()), np.iinfo(np.int64).max)
+        new[row, place], new_id[row, place] = scores[row, col], ids[col]
+        own = who[some]
+        both, both_id = np.concatenate([best[own], new[some]], 1), np.concatenate([best_id[own], new_id[some]], 1)
+        first = np.lexsort((both_id, -both), axis=1)[:, :k]
+        best[own], best_id[own] = np.take_along_axis(both, first, 1), np.take_along_axis(both_id, first, 1)
+        kth[own] = np.maximum(kth[own], best[own, -1])
 
 
 def whole_vectors(df: DataFrame, id_col: str, vector: str, scale: float) -> DataFrame:
@@ -101,83 +115,116 @@ def whole_vectors(df: DataFrame, id_col: str, vector: str, scale: float) -> Data
     )
 
 
-def topk(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
+def _packed(rows: DataFrame, number: str, most: int, least: int) -> DataFrame:
+    """Each task's rows (_id, _vector, _dims) in pieces of at most `most` rows: number, piece, dims, ids, points.
+
+    A number is below `least`, which is the number of tasks; pieces of one number are told apart.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        task, piece = TaskContext.get().partitionId(), 0
+
+        def out(dims: int, rows: list) -> pa.RecordBatch:
+            nonlocal piece
+            piece += 1
+            ids, points = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
+            return pa.record_batch({number: pa.array([task], pa.int64()), "piece": pa.array([piece], pa.int64()), "dims": pa.array([dims], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()), "points": pa.array([points.tobytes()], pa.binary())})
+
+        for batch in batches:
+            own, vectors = batch.column("_dims").to_numpy(), batch.column("_vector")
+            ids = batch.column("_id").to_numpy()
+            for dims in np.unique(own).tolist():
+                at = np.flatnonzero(own == dims)
+                points = vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), dims)
+                bound = max(1, min(most, MOST_BYTES // (8 * max(1, dims))))
+                for lo in range(0, len(at), bound):
+                    rows = held.setdefault(dims, [])
+                    rows.append((ids[at[lo : lo + bound]], points[lo : lo + bound]))
+                    while sum(len(r[0]) for r in rows) >= bound:
+                        ids_of, points_of = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
+                        yield out(dims, [(ids_of[:bound], points_of[:bound])])
+                        held[dims] = rows = [(ids_of[bound:], points_of[bound:])]
+        for dims, rows in held.items():
+            if sum(len(r[0]) for r in rows):
+                yield out(dims, rows)
+
+    packed = rows.select("_id", "_vector", "_dims").repartition(least).mapInArrow(pack, f"{number} long, piece long, dims int, ids binary, points binary")
+    return packed
+
+
+def topk(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """vectors, queries: as whole_vectors gives them. query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
-    n = vectors.count()
-    shards = max(1, min(-(-n // 512), max(spark.sparkContext.defaultParallelism, -(-n // SHARD_ROWS))))
-    dealt = vectors.repartition(shards, "_id")
-    parts = None
-    for dims in sorted(r[0] for r in queries.select("_dims").distinct().collect()):
-        own = dealt.where(F.col("_dims") == dims)
-        for names, points in _blocks(queries.where(F.col("_dims") == dims).select("_id", "_vector"), block, dims):
-            found = _search(own.select("_id", "_vector"), names, points, k, dims)
-            best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-            found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-            parts = found if parts is None else parts.unionByName(found)
-    if parts is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    return parts
-
-
-def _blocks(queries: DataFrame, block: int, dims: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    names, points = [], []
-    for row in queries.orderBy("_id").toLocalIterator():
-        names.append(row["_id"])
-        points.append(row["_vector"])
-        if len(names) == block:
-            yield np.array(names, np.int64), np.array(points, np.float64).reshape(len(points), dims)
-            names, points = [], []
-    if names:
-        yield np.array(names, np.int64), np.array(points, np.float64).reshape(len(points), dims)
-
-
-def _first_kth(names: np.ndarray, points: np.ndarray, k: int) -> np.ndarray:
-    """The kth best score of each query among the block's other vectors: no more than its true kth."""
-    if len(np.unique(names)) <= k or len(np.unique(names)) < len(names):
-        return np.full(len(names), -np.inf)
-    out = np.empty(len(names))
-    for lo in range(0, len(names), 512):
-        scores = points[lo : lo + 512] @ points.T
-        scores[np.arange(len(scores)), np.arange(lo, lo + len(scores))] = -np.inf
-        out[lo : lo + 512] = np.partition(scores, -k, axis=1)[:, -k]
-    return out
-
-
-def _plain_search(ids: np.ndarray, points: np.ndarray, names: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    n, asked = vectors.count(), queries.count()
+    shards = max(1, min(-(-n // 512), max(spark.sparkContext.defaultParallelism, -(-n // shard_rows))))
+    blocks = max(1, -(-asked // block))
+    trees = materialize(_packed(vectors, "shard", shard_rows, shards).withColumnRenamed("piece", "tree"), "trees")
+    asked = materialize(_packed(queries, "block", block, blocks), "queries")
+    best, done = None, 0
+    while done < shards:
+        wave = min(shards - done, max(1, 3 * done))
+        found = _wave(trees, asked, best, k, done, wave, shards, min(WAVE_TASKS, 2 * wave * blocks))
+        if best is not None:
+            found = found.unionByName(best)
+        order = Window.partitionBy("block", "piece", "q").orderBy(F.desc("score"), "vec_id")
+        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        done += wave
+        if done >= shards:
+            return ranked.select("query_id", "rank", "vec_id", "score")
+        best = materialize(ranked.drop("rank"), "best")
+
+
+def _wave(trees: DataFrame, asked: DataFrame, best: DataFrame | None, k: int, done: int, wave: int, shards: int, tasks: int) -> DataFrame:
+    """block, piece, q, query_id, vec_id, score: what each block finds in `wave` shards after the `done` ones it has seen."""
+    if best is None:
+        knowing = asked.withColumn("known", F.expr("cast(null as array<struct<q:int,kth:double>>)"))
+    else:
+        kth = best.groupBy("block", "piece", "q").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where((F.col("n") >= k) & (F.abs("kth") < 2**53))
+        known = kth.groupBy(F.col("block").alias("of"), F.col("piece").alias("of_piece")).agg(F.collect_list(F.struct("q", F.col("kth").cast("double").alias("kth"))).alias("known"))
+        knowing = asked.join(known, (F.col("block") == F.col("of")) & (F.col("piece") == F.col("of_piece")), "left").drop("of", "of_piece")
+    turns = F.sequence(F.lit(done).cast("long"), F.lit(done + wave - 1).cast("long"))
+    dealt = knowing.withColumn("turn", F.explode(turns)).withColumn("to", F.pmod(F.col("block") + F.col("piece") + F.col("turn"), F.lit(shards)))
+    dealt = dealt.select("block", "piece", "to", F.col("dims").alias("of_dims"), F.col("ids").alias("names"), F.col("points").alias("asked"), "known")
+    pairs = dealt.join(trees, (F.col("to") == F.col("shard")) & (F.col("of_dims") == F.col("dims")))
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([_search_pair(row, k) for row in pdf.itertuples()])
+
+    keys = ("shard", "tree", "dims", "block", "piece")
+    return pairs.repartition(tasks, *keys).groupBy(*keys).applyInPandas(search, "block long, piece long, q int, query_id long, vec_id long, score long")
+
+
+def _search_pair(row, k: int) -> pd.DataFrame:
+    """One block of queries in one tree."""
+    names, ids = np.frombuffer(row.names, np.int64), np.frombuffer(row.ids, np.int64)
+    queries, points = (np.frombuffer(x, np.float64).reshape(-1, row.dims) if row.dims else np.zeros((n, 0)) for x, n in ((row.asked, len(names)), (row.points, len(ids))))
+    most = max(float(np.abs(queries).max(initial=0)), float(np.abs(points).max(initial=0)))
+    if most >= 2**63:
+        raise ValueError("components are too large for scores that are longs")
+    if not row.dims or most**2 * row.dims >= 2**53:
+        q, found, score = _plain_search(ids, points, names, queries, k)
+    else:
+        kth = np.full(len(names), -np.inf)
+        for x in row.known if row.known is not None else ():
+            kth[x["q"]] = x["kth"]
+        kind = np.float32 if most**2 * row.dims < 2**24 else np.float64
+        q, found, score = Tree(ids, points.astype(kind)).search(names, queries.astype(kind), kth, k)
+    out = {"block": row.block, "piece": row.piece, "q": q, "query_id": names[q], "vec_id": found, "score": score}
+    return pd.DataFrame(out).astype({"score": "int64"})
+
+
+def _plain_search(ids: np.ndarray, points: np.ndarray, names: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """The k best of these vectors for each query, by Python integers."""
     whole = np.array([[int(x) for x in row] for row in points], object).reshape(points.shape)
-    for name, query in zip(names.tolist(), queries, strict=True):
+    q, found, score = [], [], []
+    for i, (name, query) in enumerate(zip(names.tolist(), queries, strict=True)):
         scores = (whole * np.array([int(x) for x in query], object)).sum(1).tolist()
-        best = heapq.nsmallest(k, ((-int(score), i) for score, i in zip(scores, ids.tolist(), strict=True) if i != name))
-        yield pa.record_batch({"query_id": pa.array([name] * len(best), pa.int64()), "vec_id": pa.array([i for _, i in best], pa.int64()), "score": pa.array([-score for score, _ in best], pa.int64())})
-
-
-def _search(vectors: DataFrame, names: np.ndarray, points: np.ndarray, k: int, dims: int) -> DataFrame:
-    small = points.astype(np.float32) if np.abs(points).max(initial=0) < 2**24 else points
-    kth = _first_kth(names, points, k) if dims and _exact(points) else np.full(len(names), -np.inf)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, rows = [], []
-        for batch in batches:
-            ids.append(batch.column("_id").to_numpy(zero_copy_only=False))
-            rows.append(batch.column("_vector").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dims))
-        if not ids or not sum(map(len, ids)):
-            return
-        mine = np.concatenate(rows)
-        most = max(float(np.abs(mine).max(initial=0)), float(np.abs(small).max(initial=0)))
-        if most >= 2**63:
-            raise ValueError("components are too large for scores that are longs")
-        if not dims or most**2 * dims >= 2**53:
-            yield from _plain_search(np.concatenate(ids), mine, names, points, k)
-            return
-        kind = np.float32 if most**2 * dims < 2**24 else np.float64
-        tree = Tree(np.concatenate(ids), mine.astype(kind))
-        for lo in range(0, len(names), 512):
-            q, found, score = tree.search(names[lo : lo + 512], small[lo : lo + 512].astype(kind), kth[lo : lo + 512], k)
-            yield pa.record_batch({"query_id": pa.array(names[lo : lo + 512][q], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score.astype(np.int64))})
-
-    return vectors.mapInArrow(search, "query_id long, vec_id long, score long")
+        for less, vec in heapq.nsmallest(k, ((-int(s), v) for s, v in zip(scores, ids.tolist(), strict=True) if v != name)):
+            q.append(i)
+            found.append(vec)
+            score.append(-less)
+    return np.array(q, np.int64), np.array(found, np.int64), score
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,10 +234,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
