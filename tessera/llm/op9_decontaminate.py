@@ -1,118 +1,160 @@
-"""Benchmark decontamination by a positional inverted index that is dealt by document.
+"""Benchmark decontamination by a stored positional inverted index that is dealt by document.
 
-Each task indexes the postings (place by term) of the documents it holds, for the terms that the
-benchmark has; other terms can't be asked for. The corpus counts of those terms say which term of
-a window is its rarest. A window's candidates are the postings of its rarest term, moved back by
-the term's place in the window; they are intersected with the moved postings of its other terms,
-from the rarer to the more frequent, until only exact occurrences are left. `slop` lets each other
-term lie that many places off, which gives proximity matches beside the exact ones.
+1. The documents are cut into segments, and each segment's postings (the places of every term, sorted)
+   are written as one row of the index. Terms are 64-bit hashes of words.
+2. The index says how often each benchmark term stands in the whole corpus, so that the rarest term of
+   every window is known.
+3. In each segment a window's candidates are the postings of its rarest term. They are moved to the
+   places where its other terms would stand and intersected with those terms' postings, from the rarer to
+   the more frequent. What is left are exact occurrences. With `slop`, every term may lie up to that many
+   places off, inside the document, from where one alignment of the window would put it, which gives
+   proximity matches beside the exact ones.
 
-Benchmark items are sent to the tasks in blocks of at most BLOCK_WORDS words, each a pass over the
-corpus; the matches of several blocks meet by row.
+Benchmark items come to the driver and the tasks in blocks of at most BLOCK_WORDS words, one at a time,
+each a pass over the index; matches of several blocks meet by row.
 
 Defined results: null or empty documents have no words and no hits; null or empty items have no
 windows; a null item_id is no item that could be reported; items of equal id are one item; rows of
-documents that repeat are judged one by one; without items nothing is hit; other columns are kept.
+documents that repeat are judged one by one; without items nothing is hit; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.llm.columns import Aside
-from tessera.llm.words import lettered_words
+from tessera.llm.words import LETTERED, cut_rows, lettered_words, spread
 from tessera.session import materialize
 
 WIDTH, MIN_ITEMS = 8, 2
-RESULTS = ("_n_words", "_n_hit", "_n_items", "_items", "_contaminated")
-#: Words of benchmark items that a task holds at once.
-BLOCK_WORDS = 2_000_000
-#: Words of documents that a task indexes at once.
-INDEX_WORDS = 400_000
-
-
-def item_windows(items: list[tuple[str, bytes]], width: int = WIDTH) -> tuple[list[bytes], dict]:
-    """The terms of some items, and their different windows by width: terms, and which items have them."""
-    terms: dict[bytes, int] = {}
-    found: dict[int, dict[tuple, set]] = {}
-    for name, raw in items:
-        ids = [terms.setdefault(w, len(terms)) for w in lettered_words(raw)]
-        step = min(width, len(ids))
-        for i in range(len(ids) - step + 1 if ids else 0):
-            found.setdefault(step, {}).setdefault(tuple(ids[i : i + step]), set()).add(name)
-    return list(terms), found
+#: Words of benchmark items that the driver and a task hold at once.
+BLOCK_WORDS = 500_000
+#: Bytes of texts in a segment; a longer text is a segment of its own.
+SEGMENT = 1 << 20
+
+INDEX = "segment long, doc_ids array<long>, marks array<long>, sizes array<long>, terms binary, ends binary, places binary"
+
+
+def postings(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different terms in order, where each one's places end, and the places, in order by term."""
+    n = len(hashes)
+    low = np.uint64((1 << n.bit_length()) - 1)
+    packed = (hashes & ~low) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    places = (packed & low).astype(np.int32)
+    terms = hashes[places]
+    if (terms[1:] < terms[:-1]).any():  # terms that differ in the bits that places have taken
+        places = np.argsort(hashes, kind="stable").astype(np.int32)
+        terms = hashes[places]
+    first = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]]) if n else np.empty(0, np.int64)
+    return terms[first], np.r_[first[1:], n][: len(first)].astype(np.int32), places
+
+
+def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", segment: int = SEGMENT) -> DataFrame:
+    """The index of docs, written into the shared folder. mark: xxhash64 of the text."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for cut in cut_rows(batch.column("_raw"), LETTERED, segment):
+                own = batch.slice(cut.first, cut.rows)
+                terms, ends, places = postings(cut.hashes)
+                yield pa.record_batch(
+                    {
+                        "segment": pa.array([number], pa.int64()),
+                        "doc_ids": _one_list(own.column("doc_id")),
+                        "marks": _one_list(own.column("_mark")),
+                        "sizes": _one_list(pa.array(cut.counts(), pa.int64())),
+                        "terms": pa.array([terms.tobytes()], pa.binary()),
+                        "ends": pa.array([ends.tobytes()], pa.binary()),
+                        "places": pa.array([places.tobytes()], pa.binary()),
+                    }
+                )
+                number += 1
+
+    own = F.col(f"`{text}`")
+    raw = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(own).alias("_mark"), own.cast("binary").alias("_raw"))
+    return materialize(raw.mapInArrow(build, INDEX), "index")
+
+
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 class Block:
-    """Windows of some benchmark items, ordered for the search."""
-
-    def __init__(self, terms: list[bytes], found: dict, counts: dict[bytes, int]):
-        self.terms = {w: i for i, w in enumerate(terms)}
-        rarity = np.array([counts.get(w, 0) for w in terms], np.int64)
-        self.groups = []
-        for step, by_window in sorted(found.items()):
-            words = np.array(list(by_window), np.int32).reshape(-1, step)
-            order = np.argsort(rarity[words], axis=1, kind="stable")
-            pivot = np.take_along_axis(words, order[:, :1], 1)[:, 0]
-            by_pivot = np.argsort(pivot, kind="stable")
-            names = list(by_window.values())
-            self.groups.append((step, words[by_pivot], order[by_pivot], pivot[by_pivot], [sorted(names[i]) for i in by_pivot]))
-
-    def search(self, tokens: np.ndarray, doc: np.ndarray, slop: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, int, list]]:
-        """tokens: term ids of many documents in a row (-1: no term); doc: the document of each.
-
-        Gives starts, windows and length of the occurrences, and the items by window.
-        """
-        by_term = np.argsort(tokens, kind="stable")
-        of = tokens[by_term]
-        for step, words, order, pivot, names in self.groups:
-            lo, hi = np.searchsorted(of, pivot, "left"), np.searchsorted(of, pivot, "right")
-            many = hi - lo
-            total = int(many.sum())
-            if not total:
+    """Windows of some benchmark items: words (places in vocabulary) of windows by width, and their items."""
+
+    def __init__(self, items: list[tuple[str, bytes]], width: int):
+        (cut,) = cut_rows(pa.array([raw for _, raw in items], pa.binary()), LETTERED, 1 << 62) if items else (None,)
+        self.vocabulary, words = np.unique(cut.hashes, return_inverse=True) if cut else (np.empty(0, np.uint64), None)
+        found: dict[int, dict[bytes, set]] = {}
+        for i, (name, _) in enumerate(items):
+            own = words[cut.edges[i] : cut.edges[i + 1]].astype(np.int32)
+            step = min(width, len(own))
+            for k in range(len(own) - step + 1 if step else 0):
+                found.setdefault(step, {}).setdefault(own[k : k + step].tobytes(), set()).add(name)
+        self.groups = [(step, np.frombuffer(b"".join(own), np.int32).reshape(-1, step), [sorted(x) for x in own.values()]) for step, own in sorted(found.items())]
+        self.order: list[np.ndarray] = []
+
+    def rank(self, counts: np.ndarray) -> None:
+        """counts: of each word of the vocabulary in the corpus. Each window's places from the rarest word on."""
+        self.order = [np.argsort(counts[words], axis=1, kind="stable") for _, words, _ in self.groups]
+
+    def search(self, terms: np.ndarray, ends: np.ndarray, places: np.ndarray, edges: np.ndarray, slop: int = 0) -> Iterator[tuple]:
+        """Matches in a segment: their first word, the end behind their last, whether exact, their window, and the items by window."""
+        at = np.searchsorted(terms, self.vocabulary)
+        here = at < len(terms)
+        here[here] = terms[at[here]] == self.vocabulary[here]
+        keyed = None
+        for (step, words, names), order in zip(self.groups, self.order, strict=True):
+            window = np.flatnonzero(here[words].all(1))
+            if not len(window):
                 continue
-            window = np.repeat(np.arange(len(pivot)), many)
-            at = by_term[np.arange(total) - np.repeat(many.cumsum() - many, many) + np.repeat(lo, many)]
-            start = at - order[window, 0]
-            keep = (start >= 0) & (start + step <= len(tokens))
-            window, start = window[keep], start[keep]
-            keep = doc[start] == doc[start + step - 1]
-            window, start = window[keep], start[keep]
+            if keyed is None:
+                n, begins = len(places), np.r_[0, ends[:-1]].astype(np.int64)
+                keyed = np.repeat(np.arange(len(terms)), np.diff(np.r_[0, ends])) * n + places
+            first = order[window, 0]
+            pivot = at[words[window, first]]
+            many = ends[pivot] - begins[pivot]
+            window, first = np.repeat(window, many), np.repeat(first, many)
+            place = places[spread(begins[pivot], many)].astype(np.int64)
+            # an alignment may put the rarest term itself some places off
+            shift = np.tile(np.arange(-slop, slop + 1), len(place))
+            window, first, place = (np.repeat(x, 2 * slop + 1) for x in (window, first, place))
+            row = np.searchsorted(edges, place, "right")
+            low, high = edges[row - 1], edges[row]
+            begin, end, exact = place.copy(), place + 1, shift == 0
             for k in range(1, step):
+                other = order[window, k]
+                term = at[words[window, other]] * n
+                nominal = place + shift + other - first
+                found = self._at(keyed, term + nominal, (nominal >= low) & (nominal < high))
+                where, hit = nominal, found
+                if slop:
+                    # the first place of the term that is near enough and in the document
+                    near = np.searchsorted(keyed, term + np.maximum(nominal - slop, low))
+                    value = keyed[np.minimum(near, len(keyed) - 1)]
+                    close = (near < len(keyed)) & (value <= term + np.minimum(nominal + slop, high - 1)) & (value >= term + low)
+                    where, hit = np.where(found, nominal, value - term), found | close
+                begin, end = np.minimum(begin, where)[hit], np.maximum(end, where + 1)[hit]
+                exact = (exact & found)[hit]
+                window, first, place, shift, low, high = (x[hit] for x in (window, first, place, shift, low, high))
                 if not len(window):
                     break
-                place = order[window, k]
-                keep = tokens[start + place] == words[window, place]
-                for off in range(1, slop + 1):
-                    for at in (start + place - off, start + place + off):
-                        ok = (at >= 0) & (at < len(tokens))
-                        at = np.where(ok, at, 0)
-                        keep |= ok & (tokens[at] == words[window, place]) & (doc[at] == doc[start])
-                window, start = window[keep], start[keep]
             if len(window):
-                yield start, window, step, names
+                yield begin, end, exact, window, names
 
-
-def _batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """Rows with their words, as many at a time as INDEX_WORDS allow, one at least."""
-    for batch in batches:
-        from_row, words, n = 0, [], 0
-        for i, value in enumerate(batch.column(text)):
-            own = lettered_words(value.as_py())
-            if words and n + len(own) > INDEX_WORDS:
-                yield batch.slice(from_row, i - from_row), words
-                from_row, words, n = i, [], 0
-            words.append(own)
-            n += len(own)
-        if words:
-            yield batch.slice(from_row), words
+    @staticmethod
+    def _at(keyed: np.ndarray, key: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(keyed, key), len(keyed) - 1)
+        return inside & (keyed[at] == key)
 
 
 def _block_items(benchmark: DataFrame, most: int) -> Iterator[list[tuple[str, bytes]]]:
@@ -130,100 +172,109 @@ def _block_items(benchmark: DataFrame, most: int) -> Iterator[list[tuple[str, by
     yield block
 
 
-def term_counts(docs: DataFrame, terms: list[bytes], text: str = "_raw") -> dict[bytes, int]:
-    """How often each of these terms stands in the whole corpus; a partial count for each task is added up."""
-    place = {w: i for i, w in enumerate(terms)}
+def _unpacked(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    kinds = {"terms": np.uint64, "ends": np.int32, "places": np.int32}
+    for batch in batches:
+        for row in zip(*[batch.column(c) for c in names], strict=True):
+            yield tuple(np.frombuffer(x.as_buffer(), kinds[c]) if c in kinds else x for c, x in zip(names, row, strict=True))
+
+
+def term_counts(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """How often each of these terms stands in the whole corpus; each task's counts are added up."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(place) + 1, np.int64)
-        for batch in batches:
-            for value in batch.column(text):
-                own = lettered_words(value.as_py())
-                total += np.bincount(np.fromiter((place.get(w, -1) for w in own), np.int64, len(own)) + 1, minlength=len(total))
-        at = np.flatnonzero(total[1:])
-        yield pa.record_batch({"term": pa.array(at, pa.int64()), "n": pa.array(total[1:][at], pa.int64())})
+        total = np.zeros(len(vocabulary), np.int64)
+        for terms, ends in _unpacked(batches, "terms", "ends"):
+            if len(terms):
+                at = np.minimum(np.searchsorted(terms, vocabulary), len(terms) - 1)
+                total += np.where(terms[at] == vocabulary, np.diff(np.r_[0, ends])[at], 0)
+        at = np.flatnonzero(total)
+        yield pa.record_batch({"term": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
+
+    out = np.zeros(len(vocabulary), np.int64)
+    for row in index.select("terms", "ends").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        out[row["term"]] = row["n"]
+    return out
+
+
+def find_phrases(index: DataFrame, block: Block, slop: int = 0) -> DataFrame:
+    """Matches of a block: segment, row (of the segment), item, begin and end (words of the document), exact."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment, sizes, terms, ends, places in _unpacked(batches, "segment", "sizes", "terms", "ends", "places"):
+            edges = np.r_[0, np.cumsum(np.array(sizes.as_py(), np.int64))]
+            for begin, end, exact, window, names in block.search(terms, ends, places, edges, slop):
+                row = np.searchsorted(edges, begin, "right") - 1
+                many = np.array([len(names[w]) for w in window.tolist()])
+                at = np.repeat(np.arange(len(window)), many)
+                yield pa.record_batch(
+                    {
+                        "segment": pa.array(np.full(len(at), segment.as_py())),
+                        "row": pa.array(row[at], pa.int64()),
+                        "item": pa.array([x for w in window.tolist() for x in names[w]], pa.string()),
+                        "begin": pa.array((begin - edges[row])[at], pa.int64()),
+                        "end": pa.array((end - edges[row])[at], pa.int64()),
+                        "exact": pa.array(exact[at]),
+                    }
+                )
+
+    wanted = index.select("segment", "sizes", "terms", "ends", "places")
+    return wanted.mapInArrow(find, "segment long, row long, item string, begin long, end long, exact boolean")
+
+
+def matches(index: DataFrame, benchmark: DataFrame, width: int = WIDTH, slop: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """segment, row, item, begin, end, exact of all matches; a block of items at a time passes over the index."""
+    parts = []
+    for items in _block_items(benchmark, block_words):
+        block = Block(items, width)
+        block.rank(term_counts(index, block.vocabulary))
+        parts.append(materialize(find_phrases(index, block, slop), "matches"))
+    return reduce(DataFrame.unionByName, parts)
 
-    rows = docs.select(text).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    return {terms[r["term"]]: r["n"] for r in rows}
 
+def _covered(spans: Column) -> Column:
+    """How many words lie in some of these spans (sorted structs of begin and end)."""
+    start = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("n"))
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", width: int = WIDTH, slop: int = 0, min_items: int = MIN_ITEMS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs with _n_words, _n_hit, _n_items, _items (ids as strings, sorted), and _contaminated."""
-    aside = Aside(docs)
-    raw = aside.df.withColumn("_raw", aside(text).cast("binary"))
-    blocks = []
-    for items in _block_items(benchmark, block_words):
-        terms, found = item_windows(items, width)
-        blocks.append(Block(terms, found, term_counts(raw, terms) if terms else {}))
-    if len(blocks) == 1:
-        return aside.back(_scan(raw, aside.inner, blocks[0], slop, min_items), *RESULTS)
-    # the id of a row must be the same in each pass: it is taken once and written
-    numbered = materialize(raw.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
-    parts = None
-    for block in blocks:
-        part = _scan(numbered.select("_row", "_raw"), ["_row"], block, slop, min_items, spans=True).where("size(_items) > 0 OR size(_spans) > 0")
-        part = materialize(part.select("_row", "_spans", "_items"), "matches")
-        parts = part if parts is None else parts.unionByName(part)
-    merged = parts.groupBy("_row").agg(F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"), F.array_distinct(F.flatten(F.collect_list("_spans"))).alias("_spans"))
-    joined = numbered.join(merged.select(F.col("_row").alias("_of"), "_items", "_spans"), F.col("_row") == F.col("_of"), "left")
-    # positions of hit words, of all blocks, without repeats
-    words = F.regexp_count(F.translate(aside(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    items = F.array_sort(F.coalesce("_items", F.array().cast("array<string>")))
-    counted = joined.select(
-        *aside.inner,
-        F.coalesce(words, F.lit(0)).cast("long").alias("_n_words"),
-        F.coalesce(F.size("_spans"), F.lit(0)).cast("long").alias("_n_hit"),
-        F.size(items).cast("long").alias("_n_items"),
-        items.alias("_items"),
-        (F.size(items) >= min_items).alias("_contaminated"),
+    def step(so_far: Column, span: Column) -> Column:
+        upto = F.greatest(so_far["upto"], span["end"])
+        return F.struct(upto.alias("upto"), (so_far["n"] + upto - F.greatest(so_far["upto"], F.least(span["begin"], upto))).alias("n"))
+
+    return F.aggregate(spans, start, step, lambda x: x["n"])
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, slop: int = 0, min_items: int = MIN_ITEMS, block_words: int = BLOCK_WORDS, segment: int = SEGMENT) -> DataFrame:
+    """doc_id, mark (xxhash64 of the text), n_words, n_hit, n_items, items (ids as strings, sorted), n_near and contaminated.
+
+    n_hit: words of exact matches; n_items and items: of exact matches; n_near: items with proximity matches only.
+    """
+    index = build_index(docs, doc_id, text, segment)
+    found = matches(index, benchmark, width, slop, block_words)
+    exact = F.col("exact")
+    by_row = found.groupBy(F.col("segment").alias("of"), F.col("row").alias("of_row")).agg(
+        F.array_sort(F.collect_set(F.when(exact, F.struct("begin", "end")))).alias("spans"),
+        F.array_sort(F.collect_set(F.when(exact, F.col("item")))).alias("items"),
+        F.array_sort(F.collect_set("item")).alias("any"),
+    )
+    lists = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "marks", "sizes")).alias("row", "own"))
+    joined = lists.join(by_row, (F.col("segment") == F.col("of")) & (F.col("row") == F.col("of_row")), "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return joined.select(
+        F.col("own.doc_ids").alias("doc_id"),
+        F.col("own.marks").alias("mark"),
+        F.col("own.sizes").alias("n_words"),
+        F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        items.alias("items"),
+        (F.coalesce(F.size("any"), F.lit(0)) - F.size(items)).cast("long").alias("n_near"),
+        (F.size(items) >= min_items).alias("contaminated"),
     )
-    return aside.back(counted, *RESULTS)
-
-
-def _scan(raw: DataFrame, kept: list[str], block: Block, slop: int, min_items: int, spans: bool = False) -> DataFrame:
-    """One pass of a block over the corpus. spans: also the places of the hit words."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = block.terms
-        for batch, words in _batches(batches, "_raw"):
-            ends = np.cumsum([len(w) for w in words])
-            n = int(ends[-1])
-            begins = ends - [len(w) for w in words]
-            tokens = np.fromiter((terms.get(w, -1) for own in words for w in own), np.int32, n)
-            doc = np.repeat(np.arange(len(words)), ends - begins)
-            edge = np.zeros(n + 1, np.int32)
-            items: list[set] = [set() for _ in words]
-            for start, window, step, names in block.search(tokens, doc, slop):
-                np.add.at(edge, start, 1)
-                np.add.at(edge, start + step, -1)
-                for at in {*zip(doc[start].tolist(), window.tolist(), strict=True)}:
-                    items[at[0]].update(names[at[1]])
-            hit = np.cumsum(edge[:-1]) > 0
-            upto = np.concatenate([[0], np.cumsum(hit)])
-            names = [sorted(x) for x in items]
-            out = {c: batch.column(c) for c in kept}
-            out |= {"_n_words": pa.array(ends - begins, pa.int64()), "_n_hit": pa.array(upto[ends] - upto[begins], pa.int64())}
-            out |= {"_n_items": pa.array([len(x) for x in names], pa.int64()), "_items": pa.array(names, pa.list_(pa.string()))}
-            out["_contaminated"] = pa.array([len(x) >= min_items for x in names])
-            if spans:
-                out["_spans"] = pa.array([np.flatnonzero(hit[b:e]).tolist() for b, e in zip(begins, ends, strict=True)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_pydict(out)
-
-    made = T.StructType.fromDDL("_n_words long, _n_hit long, _n_items long, _items array<string>, _contaminated boolean" + ", _spans array<int>" * spans)
-    return raw.mapInArrow(scan, T.StructType([*raw.select(*kept).schema.fields, *made.fields]))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select(
-        "doc_id",
-        F.col("_n_words").alias("n_words"),
-        F.col("_n_hit").alias("n_hit"),
-        F.col("_n_items").alias("n_items"),
-        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"),
-        F.col("_contaminated").alias("contaminated"),
-    )
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
 OP9_SQL = r"""
