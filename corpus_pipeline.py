@@ -42,6 +42,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     named = jaccard_copies(docs).select(F.col("doc_id").alias("_of"), F.col("mark").alias("_text"), F.col("gone").alias("_gone"), F.xxhash64("doc_id", "mark").alias("_key"))
     named = materialize(named, "named")
+    others, asked, aside = _parted(docs, named)
+    stay = others.unionByName(aside.back(asked.where("_gone IS NULL")))
+    return stay.unionByName(aside.back(asked.where("NOT _gone")).dropDuplicates(["doc_id", "text"]))
+
+
+def _parted(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame, Aside]:
+    """The rows that named (_of, _text, _gone, _key) surely doesn't name, and the others, joined with it."""
     bits = bit_filter(named, "_key")
 
     @F.pandas_udf(BooleanType())
@@ -52,14 +59,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     own = aside("doc_id").cast("long")
     marked = aside.df.withColumn("_mark", F.xxhash64(aside("text"))).withColumn("_maybe", may_be_named(F.xxhash64(own, "_mark")))
     asked = marked.where("_maybe").join(named, own.eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_text")), "left")
-    others = aside.back(marked.where("NOT _maybe")).unionByName(aside.back(asked.where("_gone IS NULL")))
-    return others.unionByName(aside.back(asked.where("NOT _gone")).dropDuplicates(["doc_id", "text"]))
+    return aside.back(marked.where("NOT _maybe")), asked, aside
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), min_items=1)
-    return found.where(~F.col("_contaminated")).select(*_columns(docs))
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), min_items=1).where("contaminated")
+    named = found.select(F.col("doc_id").alias("_of"), F.col("mark").alias("_text"), F.lit(True).alias("_gone"), F.xxhash64("doc_id", "mark").alias("_key")).distinct()
+    others, asked, aside = _parted(docs, materialize(named, "contaminated"))
+    return others.unionByName(aside.back(asked.where("_gone IS NULL")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
