@@ -5,7 +5,8 @@ tell the classes apart best on the labelled sample are kept. The loss adds, for
 with an identity term, the squared change of the logit when the term is swapped for another of its
 group, so that naming a group is not what makes a text toxic.
 
-The fit takes at most SAMPLE_ROWS labelled documents; all documents are scored, on their whole texts.
+The fit takes at most SAMPLE_ROWS labelled documents of at most SAMPLE_BYTES together; all documents are
+scored, on their whole texts.
 
 Defined results: a null or empty text gets the score of no features; a null doc_id is in no fold
 (held_out false, never learned from); without labels of both classes the score is the share of
@@ -28,8 +29,8 @@ from tessera.llm.labelled import fold_of, labelled_sample
 from tessera.llm.words import lettered_words
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
-#: Labelled documents that the fit takes at most, features kept, and the least number of documents with one.
-SAMPLE_ROWS, FEATURES, LEAST = 8000, 2048, 4
+#: Labelled documents that the fit takes at most, and their bytes; features kept, and the least number of documents with one.
+SAMPLE_ROWS, SAMPLE_BYTES, FEATURES, LEAST = 8000, 1 << 28, 2048, 4
 GRAMS = (4, 6)
 #: Strength of the counterfactual penalty and of the ridge.
 SWAP, RIDGE = 1.0, 1e-3
@@ -74,14 +75,17 @@ class Features(dict):
         return sorted({i for w in words for i in self[w]})
 
 
-def swaps(words: set[bytes], groups=IDENTITY_GROUPS) -> list[set[bytes]]:
-    """The words with one identity term swapped, for each other term of its group."""
+def swaps(words: set[bytes], features: Features, groups=IDENTITY_GROUPS) -> list[tuple[list[int], list[int]]]:
+    """Of each identity term of a text and each other term of its group: the features that a swap takes and brings."""
+    named = [(term, [o for o in own if o != term]) for group in groups if (own := [t.encode() for t in group]) for term in own if term in words]
+    if not named:
+        return []
+    many = Counter(i for w in words for i in features[w])
     out = []
-    for group in groups:
-        named = [t.encode() for t in group]
-        for term in named:
-            if term in words:
-                out += [(words - {term}) | {other} for other in named if other != term]
+    for term, others in named:
+        alone = {i for i in features[term] if many[i] == 1}
+        for other in others:
+            out.append((sorted(alone - set(features[other])), sorted(i for i in features[other] if i not in many)))
     return out
 
 
@@ -118,23 +122,26 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(logit, -40, 40))))
 
 
-def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([i for r in rows for i in r], np.int64)
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The list that each entry stands in, and the entries."""
+    return np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+
 
+def fit_weights(own: pa.ListArray, labels: np.ndarray, takes: pa.ListArray, brings: pa.ListArray, width: int, swap: float = SWAP, rounds: int = 300) -> tuple[np.ndarray, float]:
+    """Weights and bias by Adam steps on log loss + RIDGE * |w|^2 + swap * mean squared logit change of the swaps.
 
-def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: tuple[list[list[int]], list[list[int]]], width: int, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias by Adam steps on log loss + RIDGE * |w|^2 + SWAP * mean squared logit change of pairs."""
-    row, col = _flat(rows)
-    (row_a, col_a), (row_b, col_b) = _flat(pairs[0]), _flat(pairs[1])
-    w, b, n, m = np.zeros(width), float(np.log(labels.mean() / (1 - labels.mean()))), len(rows), max(1, len(pairs[0]))
+    own: features of each text; takes, brings: what each swap changes.
+    """
+    (row, col), (row_a, col_a), (row_b, col_b) = _flat(own), _flat(takes), _flat(brings)
+    w, b, n, m = np.zeros(width), float(np.log(labels.mean() / (1 - labels.mean()))), len(own), max(1, len(takes))
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, rounds + 1):
         logit = b + np.bincount(row, w[col], n)
         off = 1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels
         slope = np.bincount(col, off[row], width) / n + 2 * RIDGE * w
-        if pairs[0]:
+        if len(takes):
             change = np.bincount(row_a, w[col_a], m) - np.bincount(row_b, w[col_b], m)
-            slope += 2 * SWAP / m * (np.bincount(col_a, change[row_a], width) - np.bincount(col_b, change[row_b], width))
+            slope += 2 * swap / m * (np.bincount(col_a, change[row_a], width) - np.bincount(col_b, change[row_b], width))
         all_slopes = np.append(slope, off.mean())
         first = 0.9 * first + 0.1 * all_slopes
         second = 0.99 * second + 0.01 * all_slopes**2
@@ -143,8 +150,8 @@ def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: tuple[list[lis
     return w, b
 
 
-def train(sample: DataFrame, keep: int = FEATURES, groups=IDENTITY_GROUPS) -> Model:
-    """sample: _raw, _label."""
+def train(sample: DataFrame, keep: int = FEATURES, groups=IDENTITY_GROUPS, swap: float = SWAP) -> Model:
+    """sample: _raw, _label. The numbers of kept features come to the driver, of swaps only what they change."""
     sample = sample.where("_label IS NOT NULL")
     kept = _best_features(sample, keep, LEAST)
     places = {g: i for i, g in enumerate(kept)}
@@ -152,20 +159,23 @@ def train(sample: DataFrame, keep: int = FEATURES, groups=IDENTITY_GROUPS) -> Mo
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(places)
         for batch in batches:
-            own, changed = [], []
+            own, takes, brings = [], [], []
             for raw in batch.column("_raw"):
                 words = set(lettered_words(raw.as_py()))
+                changed = swaps(words, features, groups)
                 own.append(features.of(words))
-                changed.append([features.of(x) for x in swaps(words, groups)])
-            yield pa.record_batch({"label": batch.column("_label"), "own": pa.array(own, pa.list_(pa.int32())), "swapped": pa.array(changed, pa.list_(pa.list_(pa.int32())))})
+                takes.append([x for x, _ in changed])
+                brings.append([x for _, x in changed])
+            lists = pa.list_(pa.list_(pa.int32()))
+            yield pa.record_batch({"label": batch.column("_label"), "own": pa.array(own, pa.list_(pa.int32())), "takes": pa.array(takes, lists), "brings": pa.array(brings, lists)})
 
-    rows = sample.mapInArrow(sparse, "label int, own array<int>, swapped array<array<int>>").toArrow().to_pylist()
-    labels = np.array([r["label"] for r in rows], float)
+    rows = sample.mapInArrow(sparse, "label int, own array<int>, takes array<array<int>>, brings array<array<int>>").toArrow().combine_chunks()
+    labels = rows.column("label").to_numpy().astype(float)
     share = float(labels.mean()) if len(labels) else 0.0
     if not kept:
         return Model({}, np.zeros(0), float(np.log(max(share, 1e-12) / max(1 - share, 1e-12))))
-    pairs = [(r["own"], x) for r in rows for x in r["swapped"]]
-    return Model(places, *fit_weights([r["own"] for r in rows], labels, ([p[0] for p in pairs], [p[1] for p in pairs]), len(kept)))
+    own, takes, brings = (rows.column(c).combine_chunks() for c in ("own", "takes", "brings"))
+    return Model(places, *fit_weights(own, labels, takes.flatten(), brings.flatten(), len(kept), swap))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -187,7 +197,7 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFra
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = train(labelled_sample(docs, labels, "toxic", SAMPLE_ROWS, FOLDS, HELD_OUT))
+    model = train(labelled_sample(docs, labels, "toxic", SAMPLE_ROWS, FOLDS, HELD_OUT, F.octet_length, SAMPLE_BYTES))
     scored = score_toxicity(docs.select("doc_id", F.col("text").cast("binary").alias("text")), model).select("doc_id", "_score")
     return scored.select(
         "doc_id",

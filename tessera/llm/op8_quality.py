@@ -6,7 +6,8 @@ finds good are relabelled (some line stays bad), and it is fitted again. A docum
 the mean of its lines' forward-backward marginals, weighted by length, put through a logistic curve
 that is fitted to the documents' labels.
 
-The fit takes at most SAMPLE_ROWS labelled documents; all documents are scored, on their whole texts.
+The fit takes at most SAMPLE_ROWS labelled documents of at most SAMPLE_LINES lines together, in chains of
+at most CHAIN lines; all documents are scored, on their whole texts, and as whole chains.
 
 Defined results: a null text, or one without a line that is not blank, scores as one empty line;
 a null doc_id is in no fold (held_out false, never learned from); without labels of both classes the
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +29,8 @@ from tessera.llm.columns import Aside
 from tessera.llm.labelled import fold_of, labelled_sample
 
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.5
-#: Labelled documents that the fit takes at most.
-SAMPLE_ROWS = 3000
+#: Labelled documents that the fit takes at most, their lines, and the lines that the fit takes as one chain.
+SAMPLE_ROWS, SAMPLE_LINES, CHAIN = 3000, 400_000, 512
 #: Rounds of relabelling, gradient steps in each, and the ridge.
 ROUNDS, STEPS, RIDGE = 3, 60, 1e-3
 
@@ -149,15 +150,16 @@ def fit_field(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rou
     width = docs[0][0].shape[1]
     field = Field(width)
     lines = [np.full(len(x), y, float) for (x, _), y in zip(docs, labels, strict=True)]
-    order = np.argsort([len(x) for x, _ in docs], kind="stable")
-    # documents of like length are padded together
-    groups = [g for g in np.array_split(order, max(1, min(12, len(order)))) if len(g)]
+    pieces = [(i, at, min(at + CHAIN, len(x))) for i, (x, _) in enumerate(docs) for at in range(0, len(x), CHAIN)]
+    pieces.sort(key=lambda p: p[2] - p[1])
+    of = np.array([i for i, _, _ in pieces])
+    # pieces of like length are padded together
     padded = []
-    for g in groups:
-        t = max(len(docs[i][0]) for i in g)
-        x, real = np.zeros((len(g), t, width)), np.zeros((len(g), t), bool)
-        for k, i in enumerate(g):
-            x[k, : len(docs[i][0])], real[k, : len(docs[i][0])] = docs[i][0], True
+    for g in np.array_split(np.arange(len(pieces)), max(1, min(12, len(pieces)))):
+        t = max(pieces[i][2] - pieces[i][1] for i in g)
+        x, real = np.zeros((len(g), t, width), np.float32), np.zeros((len(g), t), bool)
+        for k, (i, lo, hi) in enumerate(pieces[j] for j in g):
+            x[k, : hi - lo], real[k, : hi - lo] = docs[i][0][lo:hi], True
         padded.append((g, x, real))
     total = sum(len(x) for x, _ in docs)
     balance = len(labels) / (2 * np.maximum(1, np.bincount(labels.astype(int), minlength=2)))
@@ -167,14 +169,14 @@ def fit_field(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rou
             slope_w, slope_p = 2 * RIDGE * field.weights, 2 * RIDGE * field.pairs
             for g, x, real in padded:
                 for y in (0, 1):
-                    own = labels[g] == y
+                    own = labels[of[g]] == y
                     if not own.any():
                         continue
                     z, r = x[own], real[own]
                     marginal, joint = _expected(field, z, r)
                     truth = np.zeros(r.shape)
-                    for k, i in enumerate(g[own]):
-                        truth[k, : len(lines[i])] = lines[i]
+                    for k, (i, lo, hi) in enumerate(pieces[j] for j in g[own]):
+                        truth[k, : hi - lo] = lines[i][lo:hi]
                     off = np.where(r, marginal - truth, 0)
                     seen = np.zeros((2, 2))
                     now, nxt = truth[:, :-1].astype(int), truth[:, 1:].astype(int)
@@ -208,16 +210,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, fl
 
 
 def train(sample: DataFrame) -> Field:
-    """sample: _raw, _label; at most SAMPLE_ROWS rows come to the driver, as line features."""
+    """sample: _raw, _label; its line features come to the driver."""
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = [lines_of(x.as_py()) for x in batch.column("_raw")]
-            yield pa.record_batch({"label": batch.column("_label"), "features": pa.array([f.astype(np.float32).tobytes() for f, _ in both], pa.binary()), "lengths": pa.array([n.tolist() for _, n in both], pa.list_(pa.float64()))})
-
-    rows = sample.mapInArrow(shapes, "label int, features binary, lengths array<double>").toArrow().to_pylist()
-    labels = np.array([r["label"] for r in rows], float)
-    docs = [(np.frombuffer(r["features"], np.float32).reshape(len(r["lengths"]), -1).astype(float), np.array(r["lengths"])) for r in rows]
+            yield pa.record_batch({"label": batch.column("_label"), "features": pa.array([f.astype(np.float32).tobytes() for f, _ in both], pa.binary()), "lengths": pa.array([n.tobytes() for _, n in both], pa.binary())})
+
+    rows = sample.mapInArrow(shapes, "label int, features binary, lengths binary").toArrow()
+    labels = rows.column("label").to_numpy().astype(float)
+    docs = []
+    for raw, size in zip(rows.column("features"), rows.column("lengths"), strict=True):
+        lengths = np.frombuffer(size.as_buffer(), np.float64)
+        docs.append((np.frombuffer(raw.as_buffer(), np.float32).reshape(len(lengths), -1), lengths))
     if len({*labels.tolist()}) < 2:
         field = Field(3 * SHAPES + 2)
         share = float(labels.mean()) if len(labels) else 1.0
@@ -241,8 +246,12 @@ def score_quality(docs: DataFrame, field: Field, text: str = "text") -> DataFram
     return aside.back(aside.df.withColumn("_raw", aside(text).cast("binary")).mapInArrow(score, schema), "_score")
 
 
+def _line_count(raw: Column) -> Column:
+    return F.regexp_count(raw.cast("string"), F.lit("\n")) + 1
+
+
 def quality_field(docs: DataFrame, labels: DataFrame) -> Field:
-    return train(labelled_sample(docs, labels, "quality", SAMPLE_ROWS, FOLDS, HELD_OUT))
+    return train(labelled_sample(docs, labels, "quality", SAMPLE_ROWS, FOLDS, HELD_OUT, _line_count, SAMPLE_LINES))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
