@@ -184,20 +184,3 @@ def fold_sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values, out=sums[1:])
     return sums[edges[1:]] - sums[edges[:-1]]
-
-
-class WordHashes(dict):
-    """64-bit hashes by word, kept for the words met most recently; bounded by `most` entries."""
-
-    def __init__(self, most: int = 200_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
