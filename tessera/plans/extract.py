@@ -6,9 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from tessera.functions.text import plain_text
+from tessera.functions.text import strip_tags, tidy_lines, unescape
 from tessera.operators.rules import DEFAULT_ROLES, irrelevant, posting_problem
 from tessera.sources.boards import BOARDS, FIELDS, absent, at, kind_of
 
@@ -20,18 +19,19 @@ def _problem(rule: str, detail: Column) -> Column:
     return F.struct(F.lit("extract").alias("stage"), F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
 
 
-@F.pandas_udf(StringType())
-def _lever_sections(plain, lists, additional):
-    """Lever's text: the plain part, each list as heading and body, the rest; blocks parted by an empty line."""
-    import pandas as pd
+#: Parts texts that are decoded together; private characters that no text should hold.
+_SEAM = "\uE000\uE001"
 
-    def one(first, blocks, last):
-        parts = [first]
-        for block in blocks if blocks is not None else []:
-            parts.append("\n".join(x for x in (block["heading"], plain_text(block["content"])) if x))
-        return "\n\n".join(x.strip() for x in [*parts, last] if x and x.strip()) or None
 
-    return pd.Series([one(*x) for x in zip(plain, lists, additional, strict=True)], dtype="object")
+def _lever_sections() -> Column:
+    """Lever's text: the plain part, each list as heading and body, the rest; blocks parted by an empty line."""
+    lists = F.coalesce(at("lists", "array<variant>"), F.array().cast("array<variant>"))
+    headings = F.transform(lists, lambda b: F.trim(F.regexp_replace(F.coalesce(F.try_variant_get(b, "$.text", "string"), F.lit("")), r"\s+", " ")))
+    bodies = F.transform(lists, lambda b: strip_tags(F.coalesce(F.try_variant_get(b, "$.content", "string"), F.lit(""))))
+    bodies = F.transform(F.split(unescape(F.array_join(bodies, _SEAM)), _SEAM), tidy_lines)
+    blocks = F.zip_with(headings, bodies, lambda h, b: F.array_join(F.filter(F.array(h, b), lambda x: x != ""), "\n"))
+    ends = [F.array(F.regexp_replace(F.coalesce(at(n), F.lit("")), r"^\s+|\s+\z", "")) for n in ("descriptionPlain", "additionalPlain")]
+    return F.nullif(F.array_join(F.filter(F.concat(ends[0], blocks, ends[1]), lambda x: x != ""), "\n\n"), F.lit(""))
 
 
 def _records(payloads: DataFrame, name: str) -> DataFrame:
@@ -49,8 +49,8 @@ def _records(payloads: DataFrame, name: str) -> DataFrame:
         broken = ~(kind.startswith("ARRAY") | kind.startswith("OBJECT") | (kind == "STRING"))
     shaped = own.withColumns({"broken": broken, "jobs": jobs, "listed": listed})
     unreadable = shaped.where("broken").select("payload_seq", "source", "key", "company", F.lit(-1).alias("pos"), F.lit(None).cast("variant").alias("record"), _problem("unreadable_payload", kind).alias("problem"))
-    shaped.where("NOT broken").createOrReplaceTempView("_tessera_payloads")
-    exploded = own.sparkSession.sql("SELECT p.payload_seq, p.source, p.key, p.company, e.pos, p.listed, e.value AS record FROM _tessera_payloads p, LATERAL variant_explode(p.jobs) e")
+    each = own.sparkSession.tvf.variant_explode(F.col("jobs").outer())
+    exploded = shaped.where("NOT broken").withColumnRenamed("key", "payload_key").lateralJoin(each).select("payload_seq", "source", F.col("payload_key").alias("key"), "company", "pos", "listed", F.col("value").alias("record"))
     # an object in the place of a list is gone through by its names
     record = F.when(F.col("listed").startswith("ARRAY"), F.col("record")).otherwise(F.parse_json(F.lit('"name"')))
     records = exploded.withColumn("record", record).drop("listed")
@@ -90,9 +90,7 @@ def annotate(payloads: DataFrame, now: datetime, roles=DEFAULT_ROLES) -> DataFra
         rows = _records(payloads, name)
         rows = rows.withColumn("problem", F.coalesce("problem", _record_problem(name)))
         if name == "lever":
-            lists = F.transform(at("lists", "array<variant>"), lambda b: F.struct(F.try_variant_get(b, "$.text", "string").alias("heading"), F.try_variant_get(b, "$.content", "string").alias("content")))
-            tidy = F.transform(lists, lambda b: F.struct(F.trim(F.regexp_replace(b["heading"], r"\s+", " ")).alias("heading"), b["content"].alias("content")))
-            rows = rows.withColumn("sections", _lever_sections(at("descriptionPlain"), tidy, at("additionalPlain")))
+            rows = rows.withColumn("sections", _lever_sections())
         made = board.project()
         ident = F.coalesce(F.nullif(at("id"), F.lit("")), F.nullif(at("guid"), F.lit("")))
         normal = [made.get(f, F.lit(None)).cast(_TYPES.get(f, "string")).alias(f) for f in FIELDS]

@@ -43,6 +43,20 @@ def absent(path: str) -> Column:
     return value.isNull() | F.is_variant_null(value) | ((kind_of(value) == "STRING") & (at(path) == ""))
 
 
+def time_at(path: str) -> Column:
+    """The time at a path, of a number or a text."""
+    number = kind_of(F.try_variant_get(F.col("record"), f"$.{path}", "variant")).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.when(number, parse_datetime(at(path), numbers=True)).otherwise(parse_datetime(at(path)))
+
+
+def first_time(*paths: str) -> Column:
+    """The time at the first path that holds something."""
+    out = time_at(paths[-1])
+    for path in reversed(paths[:-1]):
+        out = F.when(held(path).isNotNull(), time_at(path)).otherwise(out)
+    return out
+
+
 def _none(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
@@ -60,7 +74,7 @@ def _greenhouse() -> dict[str, Column]:
         "company": F.coalesce(F.nullif(F.col("company"), F.lit("")), clean(at("company_name")), F.col("key")),
         "location": location,
         "work_mode": work_mode(location, title),
-        "posted_at": parse_datetime(F.coalesce(held("first_published"), held("updated_at"))),
+        "posted_at": first_time("first_published", "updated_at"),
         "description": html_to_text(unescape(at("content"))),
     }
 
@@ -81,7 +95,7 @@ def _lever() -> dict[str, Column]:
         "salary_max": F.when(yearly, high),
         "salary_currency": currency,
         "salary_text": salary_text(low, high, currency, period),
-        "posted_at": parse_datetime(at("createdAt")),
+        "posted_at": time_at("createdAt"),
         "description": F.col("sections"),
     }
 
@@ -103,7 +117,7 @@ def _ashby() -> dict[str, Column]:
         "salary_max": high,
         "salary_currency": currency,
         "salary_text": F.coalesce(clean(at("compensation.compensationTierSummary")), salary_text(low, high, currency, F.lit("year"))),
-        "posted_at": parse_datetime(at("publishedAt")),
+        "posted_at": time_at("publishedAt"),
         "description": F.coalesce(held("descriptionPlain"), html_to_text(at("descriptionHtml"))),
     }
 
@@ -117,7 +131,7 @@ def _remotive() -> dict[str, Column]:
         "location": clean(at("candidate_required_location")),
         "work_mode": F.lit("remote"),
         "salary_text": clean(at("salary")),
-        "posted_at": parse_datetime(at("publication_date")),
+        "posted_at": time_at("publication_date"),
         "description": html_to_text(at("description")),
     }
 
@@ -136,7 +150,7 @@ def _remoteok() -> dict[str, Column]:
         "salary_max": high,
         "salary_currency": currency,
         "salary_text": salary_text(low, high, currency, F.lit("year")),
-        "posted_at": parse_datetime(F.coalesce(held("epoch"), held("date"))),
+        "posted_at": first_time("epoch", "date"),
         "description": html_to_text(at("description")),
     }
 
@@ -154,7 +168,7 @@ def _jobicy() -> dict[str, Column]:
         "salary_max": high,
         "salary_currency": currency,
         "salary_text": salary_text(low, high, currency, F.lit("year")),
-        "posted_at": parse_datetime(at("pubDate")),
+        "posted_at": time_at("pubDate"),
         "description": html_to_text(F.coalesce(held("jobDescription"), held("jobExcerpt"))),
     }
 
@@ -174,7 +188,7 @@ def _himalayas() -> dict[str, Column]:
         "salary_max": F.when(period == "year", high),
         "salary_currency": currency,
         "salary_text": salary_text(low, high, currency, period),
-        "posted_at": parse_datetime(at("pubDate")),
+        "posted_at": time_at("pubDate"),
         "description": html_to_text(at("description")),
     }
 

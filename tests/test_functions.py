@@ -25,6 +25,8 @@ def test_canonical_url(spark):
         "https://x.example/a?q=a%20b&p=ü": "https://x.example/a?p=%C3%BC&q=a+b",
         "https://x.example/a?a-b=1&a=2": "https://x.example/a?a=2&a-b=1",
         " https://x.example/A?UTM_x=1 ": "https://x.example/A",
+        "\thttps://x.example/A\u00a0\n": "https://x.example/A",
+        "https://x.example/a?q=100%&p=%zz~*+b&&=x": "https://x.example/a?=x&p=%25zz~%2A+b&q=100%25",
     }
     assert values(spark, canonical_url(F.col("x")), list(cases)) == list(cases.values())
     assert values(spark, canonical_url(F.col("x")), [None]) == [None]
@@ -32,6 +34,15 @@ def test_canonical_url(spark):
 
 def test_html_to_text(spark):
     cases = {"<p>Hi&nbsp;there</p><ul><li>a</li><li>b</li></ul>": "Hi there\n\n- a\n- b", "<p>cut <b": "cut", "a<br/>b": "a\n\nb", "a<br>b": "a\nb", "<script>x</script>": None, "": None, None: None}
+    cases |= {
+        "<P CLASS='a > b'>x</P>y": "x\ny",
+        "a < b & c &lt;b&gt; 3<4 <i>x</i>": "a < b & c <b> 3<4 x",
+        "<!-- <p>no</p> --><style>p > a {}</style>yes<script>var a = '<!--';</script>!<br />?": "yes!\n\n?",
+        "<prefix>a</prefix><p-x>b</p-x><hr>c": "ab\nc",
+        "a\u00a0 \u2003b\u2028c\r\nd\n\n\n\ne": "a b\nc\nd\n\ne",
+        "<script>never closed <p>x": None,
+        "<li>one<li/>two": "- one\n- two",
+    }
     assert values(spark, T.html_to_text(F.col("x")), list(cases)) == list(cases.values())
 
 
@@ -51,11 +62,13 @@ def test_parse_datetime(spark):
         "20260925": datetime(1970, 8, 23, 12, 2, 5),
         "2026": datetime(1970, 1, 1, 0, 33, 46),
         "Fri, 26 Sep 2026 10:00:00 GMT": datetime(2026, 9, 26, 10),
+        "1758891600.5": None,
         "not a date": None,
         "": None,
         None: None,
     }
     assert values(spark, T.parse_datetime(F.col("x")), list(cases)) == list(cases.values())
+    assert values(spark, T.parse_datetime(F.col("x"), numbers=True), ["1758891600.5"]) == [datetime(2025, 9, 26, 13, 0, 0, 500000)]
 
 
 def test_numbers_and_pay(spark):
