@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.grouping import group_postings
 from tessera.operators.rules import DEFAULT_ROLES
 from tessera.plans import extract
-from tessera.plans.enrich import EnrichStats, Provider, choose_provider, enrich_jobs
+from tessera.plans.enrich import Provider, choose_provider, enrich_jobs
 from tessera.plans.profile import Profile
 from tessera.plans.report import build_report, run_counts
 from tessera.plans.store import Store, load_checks, load_groups
@@ -30,7 +30,7 @@ class Summary:
     seen_again: int
     rejected: int
     filtered: int
-    enrich: EnrichStats | None
+    enrich: Row | None
     report: str
     stats: dict[str, dict[str, int]] = field(default_factory=dict)
 
@@ -48,8 +48,8 @@ def run(spark: SparkSession, payloads: DataFrame, root: str, profile: Profile |
         store.commit({
             "jobs": loaded.jobs,
             "job_sources": loaded.job_sources,
-            "rejections": store.read("rejections").unionByName(bad.select(*store.read("rejections").columns)),
-            "source_stats": store.read("source_stats").unionByName(stats.select(*store.read("source_stats").columns)),
+            "rejections": bad,
+            "source_stats": stats,
         }, run_id)
         failures = load_checks(store)
         if failures:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.grouping import group_postings
 from tessera.operators.rules import irrelevant, posting_problem
-from tessera.plans.enrich import ModelProvider, Unavailable, check_answer, choose_provider, enrich_jobs
+from tessera.plans.enrich import ModelProvider, Unavailable, checked, choose_provider, enrich_jobs, outcome_counts
 from tessera.plans.extract import annotate, rejections, source_stats
 from tessera.plans.profile import Profile
 from tessera.plans.run import ChecksFailed, run
@@ -156,12 +156,37 @@ def test_two_runs(spark, tmp_path):
     assert (stats.candidates, stats.enriched, stats.failed) == (3, 2, 1)
 
 
-def test_answers_and_choice():
-    assert check_answer({"seniority": "mid", "affinity": 3, "stack": ["PySpark", "k8s", "Spark", "Iceberg"]})["stack"] == ["Spark", "Kubernetes", "Iceberg"]
-    for bad in ({}, {"seniority": "mid", "affinity": True}, {"seniority": "mid", "affinity": 101}, {"seniority": "x", "affinity": 1}, []):
+def test_answers(spark):
+    good = {"seniority": "mid", "affinity": 3, "stack": ["PySpark", "k8s", "Spark", " Iceberg ", "", "Kàfka"], "rationale": " ok "}
+    replies = [good, {}, good | {"affinity": True}, good | {"affinity": 101}, good | {"affinity": 3.5}, good | {"affinity": "3"}, good | {"seniority": "x"}, [], good | {"stack": None, "rationale": None}]
+    rows = [(str(i), json.dumps(x), None) for i, x in enumerate(replies)] + [("a", "{broken", None), ("b", None, "refused"), ("c", None, None)]
+    got = {r["job_id"]: r for r in checked(spark.createDataFrame(rows, "job_id string, reply string, error string")).collect()}
+    assert (got["0"]["stack"], got["0"]["rationale"], got["0"]["affinity"]) == (["Spark", "Kubernetes", "Iceberg", "Kafka"], "ok", 3)
+    assert got["8"]["error"] is None and got["8"]["stack"] == []
+    assert all(got[i]["error"] and got[i]["affinity"] is None and got[i]["stack"] is None for i in "1234567abc")
+    assert got["b"]["error"] == "refused"
+
+
+def test_outcomes(spark):
+    """A provider that is gone ends a task's batch: those jobs are neither scored nor failed."""
+    def client():
+        def ask(job, profile):
+            if job["job_id"] == "3":
+                raise Unavailable("credit is used up")
+            return json.dumps({"seniority": "mid", "stack": [], "affinity": 1 if job["job_id"] != "1" else 200})
+
+        return ask
+
+    jobs = spark.createDataFrame([(str(i),) for i in range(6)], "job_id string").coalesce(1)
+    counts = outcome_counts(ModelProvider(client, "m").enrich(jobs, PROFILE)).first()
+    assert (counts.candidates, counts.enriched, counts.failed, counts.stopped, counts.errors) == (6, 2, 1, "credit is used up", ["1: invalid affinity"])
+
+
+def test_choice():
+    assert choose_provider("off") is None and choose_provider("simulated").name == "simulated" and choose_provider("auto").name == "simulated"
+    made = ModelProvider(None, "m")
+    assert choose_provider("model", made) is made and choose_provider("auto", made) is made
+    for mode in ("other", "model"):
         with pytest.raises(ValueError):
-            check_answer(bad)
-    assert choose_provider("off") is None and choose_provider("simulated").name == "simulated"
-    with pytest.raises(ValueError):
-        choose_provider("other")
-    assert issubclass(Unavailable, Exception) and issubclass(ChecksFailed, Exception) and FIELDS and F
+            choose_provider(mode)
+    assert issubclass(ChecksFailed, Exception) and FIELDS and F
