@@ -29,7 +29,10 @@ def _run(args, samples: str | None, boards: str | None, now: datetime | None) ->
         payloads, mode = read_payloads(spark, samples, read_boards(spark, boards) if boards else {}), "samples"
     else:
         next_run = (Store(spark, root).read("runs").agg(F.max("run_id")).first()[0] or 0) + 1
-        payloads, mode = live_payloads(spark, load_settings(args.config), str(output / "raw" / f"run-{next_run}")), "live"
+        payloads, landed = live_payloads(spark, load_settings(args.config), str(output / "raw" / f"run-{next_run}"))
+        mode = "live"
+        for source, key, why in landed.errors:
+            print(f"{source} {key}: {why}", file=sys.stderr)
     profile = load_profile(args.profile) if args.profile else None
     done = run(spark, payloads, root, profile, now, mode, args.ai if profile else "off", limit=args.enrich_limit)
     (output / f"report-run-{done.run_id}.md").write_text(done.report, encoding="utf-8")

@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.sources.http import FetchError, JsonClient
-from tessera.sources.payloads import read_payloads
+from tessera.sources.payloads import no_payloads, read_payloads
 
 # Addresses and parameters of the boards.
 BOARD_URLS = {
@@ -63,9 +63,25 @@ def requests(settings: Settings) -> Iterator[tuple[str, str, str, dict]]:
         yield "himalayas", f"{role}#1", HIMALAYAS, {"q": role, "page": 1}
 
 
-def land(settings: Settings, folder: str, client: JsonClient | None = None) -> Landed:
-    """Every answer goes to <folder>/<source>/<key>.json before anything reads it; a failure costs its request."""
-    client, out = client or JsonClient(), Landed(folder)
+def _writer(spark: SparkSession):
+    """write(path, text) through Hadoop's file system, so that the folder may lie where executors read it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def write(path: str, text: str) -> None:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        out = target.getFileSystem(conf).create(target, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    return write
+
+
+def land(spark: SparkSession, settings: Settings, folder: str, client: JsonClient | None = None) -> Landed:
+    """Every answer goes to <folder>/<source>/<key>.json before anything reads it; a failure costs its request.
+
+    The requests are a few dozen, paced by the client, so the driver makes them.
+    """
+    client, out, write = client or JsonClient(), Landed(folder), _writer(spark)
     for source, key, url, params in requests(settings):
         page = params.get("page")
         while True:
@@ -74,11 +90,9 @@ def land(settings: Settings, folder: str, client: JsonClient | None = None) -> L
             except FetchError as e:
                 out.errors.append((source, key, str(e)))
                 break
-            target = Path(folder) / source / f"{safe_name(key)}.json"
-            target.parent.mkdir(parents=True, exist_ok=True)
-            target.write_text(json.dumps(body), encoding="utf-8")
+            write(f"{folder.rstrip('/')}/{source}/{safe_name(key)}.json", json.dumps(body))
             out.payloads.append((source, key))
-            more = page is not None and isinstance(body, dict) and len(body.get("jobs", [])) >= body.get("limit", HIMALAYAS_LIMIT)
+            more = page is not None and isinstance(body, dict) and len(body.get("jobs") or []) >= body.get("limit", HIMALAYAS_LIMIT)
             if not more or page >= HIMALAYAS_PAGES:
                 break
             page += 1
@@ -86,6 +100,7 @@ def land(settings: Settings, folder: str, client: JsonClient | None = None) -> L
     return out
 
 
-def live_payloads(spark: SparkSession, settings: Settings, folder: str, client: JsonClient | None = None) -> DataFrame:
-    land(settings, folder, client)
-    return read_payloads(spark, folder, settings.boards)
+def live_payloads(spark: SparkSession, settings: Settings, folder: str, client: JsonClient | None = None) -> tuple[DataFrame, Landed]:
+    """The payloads that were landed (none if every request failed), and what was landed and what failed."""
+    landed = land(spark, settings, folder, client)
+    return read_payloads(spark, folder, settings.boards) if landed.payloads else no_payloads(spark), landed

@@ -9,18 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans.profile import Profile
 from tessera.plans.run import Summary, run
-from tessera.sources.payloads import board_names
-
-
-def payloads_of(files: DataFrame, boards: dict[str, dict[str, str]]) -> DataFrame:
-    """A micro-batch of whole files, as the scan gives payloads."""
-    parts = F.split("path", "/")
-    named = files.withColumns({"source": F.url_decode(F.element_at(parts, -2)), "key": F.regexp_replace(F.url_decode(F.element_at(parts, -1)), r"\.json$", "")})
-    known = board_names(files.sparkSession, boards).withColumnsRenamed({"source": "board_source", "key": "board_key"})
-    joined = named.join(known, (F.col("source") == F.col("board_source")) & (F.col("key") == F.col("board_key")), "left")
-    # any fixed order of the batch's files will do; that of their paths is repeatable
-    order = F.pmod(F.xxhash64("path"), F.lit(2**31))
-    return joined.select(order.alias("payload_seq"), "source", "key", "company", F.col("value").alias("raw"), F.try_parse_json("value").alias("body"))
+from tessera.sources.payloads import payloads_of
 
 
 def run_new_files(spark: SparkSession, landing: str, root: str, checkpoint: str, boards: dict[str, dict[str, str]] | None = None, profile: Profile | None = None, provider_mode: str | None = None, now: datetime | None = None) -> list[Summary]:
@@ -30,7 +19,7 @@ def run_new_files(spark: SparkSession, landing: str, root: str, checkpoint: str,
     def one(batch: DataFrame, _id: int) -> None:
         done.append(run(batch.sparkSession, payloads_of(batch, boards or {}), root, profile, now or datetime.now(UTC).replace(tzinfo=None), "stream", provider_mode))
 
-    files = spark.readStream.format("text").option("wholetext", "true").load(f"{landing.rstrip('/')}/*/").select("value", F.col("_metadata.file_path").alias("path"))
+    files = spark.readStream.format("text").option("wholetext", "true").load(f"{landing.rstrip('/')}/*/").select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("path"))
     stream = files.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     stream.awaitTermination()
     return done

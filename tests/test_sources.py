@@ -28,14 +28,14 @@ def test_failures(answers):
         client(answers)[0].get("https://a.example/x")
 
 
-def test_landing(tmp_path):
+def test_landing(spark, tmp_path):
     def transport(url):
         if "himalayas" in url:
             return 200, {}, json.dumps({"jobs": [1, 2], "limit": 2}).encode()
         return (404, {}, b"") if "lever" in url else (200, {}, b'{"jobs": []}')
 
     settings = Settings(("Data Engineer",), {"greenhouse": {"acme": "Acme"}, "lever": {"x": "X"}})
-    done = land(settings, str(tmp_path), JsonClient(transport, lambda s: None, lambda: 0.0))
+    done = land(spark, settings, str(tmp_path), JsonClient(transport, lambda s: None, lambda: 0.0))
     assert [k for s, k in done.payloads if s == "himalayas"] == ["Data Engineer#1", "Data Engineer#2"]
     assert [e[:2] for e in done.errors] == [("lever", "x")]
     assert (tmp_path / "remotive" / "Data_Engineer.json").exists() and safe_name("a b/c-d_e") == "a_b_c-d_e"
