@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import materialize
+from tessera.session import discard, materialize
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,9 +20,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     pairs = materialize(pairs, "edges")
     loops = pairs.where("u = v").select("u")
     stars = pairs.where("u <> v")
-    seen = None
+    seen, last = None, None
     while True:
         stars = materialize(_small_star(_large_star(stars)), "stars")
+        if last is not None:
+            discard(last)
+        last = stars
         state = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.expr("sum(cast(xxhash64(v, u) % 1000003 as bigint))")).first()
         if state == seen:
             break

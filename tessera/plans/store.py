@@ -1,7 +1,9 @@
 """Versioned tables: Parquet snapshots and one manifest that names the current ones.
 
 A commit writes every snapshot first and then replaces the manifest in one rename, so that readers
-see all of a run or nothing, and each run's state stays readable.
+see all of a run or nothing, and each run's state stays readable until it expires. Tables of history
+are appended to: a commit adds a folder of its own rows, and the folders are put together when they
+are many.
 """
 
 from __future__ import annotations
@@ -10,8 +12,9 @@ import json
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.grouping import MERGED
@@ -30,6 +33,23 @@ SCHEMAS = {
 }
 
 
+#: Tables that only grow, and the folders of one that are put together.
+HISTORY, FOLDERS = ("rejections", "source_stats"), 64
+
+
+class Tables:
+    """Named tables that are given, read as those of a store are."""
+
+    def __init__(self, tables: dict[str, DataFrame]):
+        self.tables = tables
+
+    def has(self, table: str) -> bool:
+        return table in self.tables
+
+    def read(self, table: str) -> DataFrame:
+        return self.tables[table]
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -41,8 +61,8 @@ class Store:
     def _path(self, text: str):
         return self._jvm.org.apache.hadoop.fs.Path(text)
 
-    def manifest(self) -> dict[str, str]:
-        """Folder of the current snapshot by table."""
+    def manifest(self) -> dict[str, list[str]]:
+        """Folders of the current state by table."""
         if not self._files.exists(self._manifest):
             return {}
         return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.root}/manifest.json", wholetext=True).collect()))
@@ -50,24 +70,39 @@ class Store:
     def has(self, table: str) -> bool:
         return table in self.manifest()
 
-    def read(self, table: str, manifest: dict[str, str] | None = None) -> DataFrame:
-        """The current snapshot; manifest: of another state."""
-        folder = (self.manifest() if manifest is None else manifest).get(table)
-        if folder is None:
+    def read(self, table: str, manifest: dict[str, list[str]] | None = None) -> DataFrame:
+        """The current state; manifest: of another one."""
+        folders = (self.manifest() if manifest is None else manifest).get(table)
+        if not folders:
             return self.spark.createDataFrame([], SCHEMAS[table])
-        return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.root}/{folder}")
+        return self.spark.read.schema(SCHEMAS[table]).parquet(*[f"{self.root}/{f}" for f in folders])
 
-    def commit(self, tables: dict[str, DataFrame], run_id: int) -> dict[str, str]:
-        """Write new snapshots of these tables and make them the current ones, all at once."""
+    def commit(self, tables: dict[str, DataFrame], run_id: int) -> dict[str, list[str]]:
+        """Write new snapshots of these tables, or new rows of history, and make them current, all at once."""
         manifest = self.manifest()
         for table, df in tables.items():
+            old = manifest.get(table, []) if table in HISTORY else []
+            if len(old) >= FOLDERS:
+                df, old = self.read(table, {table: old}).unionByName(df.select(*_columns(table))), []
             folder = f"{table}/v={run_id}-{uuid.uuid4().hex[:12]}"
             empty = self.spark.createDataFrame([], SCHEMAS[table])
             empty.unionByName(df.select(*empty.columns)).write.parquet(f"{self.root}/{folder}")
-            manifest[table] = folder
+            manifest[table] = [*old, folder]
         self._replace(json.dumps(manifest, sort_keys=True))
         return manifest
 
+    def expire(self, before_run: int) -> list[str]:
+        """Remove the folders that runs before this one have written and that are no part of the current state."""
+        kept, gone = {f for folders in self.manifest().values() for f in folders}, []
+        for table in SCHEMAS:
+            top = self._path(f"{self.root}/{table}")
+            for entry in self._files.listStatus(top) if self._files.exists(top) else []:
+                name = f"{table}/{entry.getPath().getName()}"
+                if name not in kept and int(name.split("v=")[1].split("-")[0]) < before_run:
+                    self._files.delete(entry.getPath(), True)
+                    gone.append(name)
+        return gone
+
     def _replace(self, text: str) -> None:
         fresh = self._path(f"{self.root}/manifest-{uuid.uuid4().hex}.json")
         out = self._files.create(fresh)
@@ -105,6 +140,10 @@ class Loaded:
     new_links: int
 
 
+def _columns(table: str) -> list[str]:
+    return [c.split()[0] for c in SCHEMAS[table].split(", ")]
+
+
 def content_hash() -> Column:
     said = F.struct(*sorted(("title", "company", "location", "description", "salary_text")))
     return F.sha2(F.to_json(said, {"ignoreNullFields": "false"}), 256)
@@ -125,16 +164,21 @@ def match_groups(groups: DataFrame, jobs: DataFrame, job_sources: DataFrame, now
     by_url = groups.select("group_seq", "canonical_url").join(jobs.select("canonical_url", "job_id"), "canonical_url").groupBy("group_seq").agg(F.min("job_id").alias("by_url"))
     found = groups.join(by_link, "group_seq", "left").join(by_url, "group_seq", "left")
     known = found.withColumn("early", F.coalesce("by_link", "by_url"))
-    touched = known.where("early IS NOT NULL").groupBy(F.col("early").alias("job_id")).agg(F.min("group_seq").alias("touched_by"))
     clock = F.lit(now).cast("timestamp_ntz")
-    keyed = jobs.where("dedup_key IS NOT NULL").select("job_id", "dedup_key", "last_seen_at").join(touched, "job_id", "left")
-    near = known.where("early IS NULL AND dedup_key IS NOT NULL").select("group_seq", "dedup_key").join(keyed, "dedup_key")
-    near = near.withColumn("seen", F.when(F.col("touched_by") < F.col("group_seq"), clock).otherwise(F.col("last_seen_at")))
-    by_key = near.where(F.col("seen") >= F.lit(now - window).cast("timestamp_ntz")).groupBy("group_seq").agg(F.max_by("job_id", F.struct("seen", "job_id")).alias("by_key"))
+    # of a key's jobs the last seen one; reached ones count as seen now from their group on, and times of sight aren't later
+    inside = jobs.where((F.col("dedup_key").isNotNull()) & (F.col("last_seen_at") >= F.lit(now - window).cast("timestamp_ntz")))
+    latest = inside.groupBy("dedup_key").agg(F.max(F.struct(F.col("last_seen_at").alias("seen"), "job_id")).alias("latest"))
+    touched = known.where("early IS NOT NULL").groupBy(F.col("early").alias("job_id")).agg(F.min("group_seq").alias("group_seq"))
+    reached = touched.join(jobs.where("dedup_key IS NOT NULL").select("job_id", "dedup_key"), "job_id").select("dedup_key", "group_seq", F.struct(clock.alias("seen"), "job_id").alias("reached"))
+    asking = known.where("early IS NULL AND dedup_key IS NOT NULL").select("dedup_key", "group_seq", F.lit(None).cast(reached.schema["reached"].dataType).alias("reached"))
+    so_far = Window.partitionBy("dedup_key").orderBy("group_seq").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = reached.unionByName(asking).withColumn("before", F.max("reached").over(so_far)).where("reached IS NULL")
+    best = F.greatest(F.col("before"), F.col("latest"))
+    by_key = ranked.join(latest, "dedup_key", "left").select("group_seq", best["job_id"].alias("by_key"))
     return known.join(by_key, "group_seq", "left").withColumn("matched", F.coalesce("early", "by_key")).drop("by_link", "by_url", "early", "by_key")
 
 
-def load_groups(store: Store, groups: DataFrame, run_id: int, now: datetime, window: timedelta = SAME_JOB) -> Loaded:
+def load_groups(store: Store | Tables, groups: DataFrame, run_id: int, now: datetime, window: timedelta = SAME_JOB) -> Loaded:
     """Jobs and links after the load: stored values win, gaps are filled, links never move."""
     jobs, job_sources = store.read("jobs"), store.read("job_sources")
     clock, run = F.lit(now).cast("timestamp_ntz"), F.lit(run_id)
@@ -167,14 +211,23 @@ def load_groups(store: Store, groups: DataFrame, run_id: int, now: datetime, win
     return Loaded(new_jobs, new_sources, counts["new"], counts["again"], new_links)
 
 
-def load_checks(store: Store) -> dict[str, int]:
-    """The number of offending rows by check, for the checks that fail."""
+def offending_rows(store: Store | Tables) -> dict[str, DataFrame]:
+    """What breaks each check."""
     jobs, links = store.read("jobs"), store.read("job_sources")
-    offending = {
+    return {
         "jobs_missing_required": jobs.where("title = '' OR company = '' OR canonical_url = ''"),
         "duplicate_canonical_url": jobs.groupBy("canonical_url").count().where("count > 1"),
         "orphan_source_links": links.join(jobs, "job_id", "left_anti"),
         "job_without_sources": jobs.join(links, "job_id", "left_anti"),
     }
-    counted = {name: df.count() for name, df in offending.items()}
-    return {name: n for name, n in counted.items() if n}
+
+
+def check_counts(store: Store | Tables) -> DataFrame:
+    """check and failing: the number of offending rows of every check."""
+    counted = [df.agg(F.count("*").alias("failing")).select(F.lit(name).alias("check"), "failing") for name, df in offending_rows(store).items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def load_checks(store: Store | Tables) -> dict[str, int]:
+    """The number of offending rows by check, for the checks that fail."""
+    return {r["check"]: r["failing"] for r in check_counts(store).where("failing > 0").collect()}

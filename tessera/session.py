@@ -32,11 +32,13 @@ def local_session(app: str = "tessera", cores: int | str = "*", partitions: int
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can read: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder every executor can read: spark.checkpoint.dir, or a local one where that is unset and the master is local."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not context.master.startswith("local"):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(LOCAL_CHECKPOINTS)
     return LOCAL_CHECKPOINTS
@@ -52,7 +54,14 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tessera_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that materialize wrote and that nothing reads any more."""
+    _remove(df.sparkSession, df._tessera_path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
