@@ -1,11 +1,11 @@
-"""Queries over the driver's tables, one or more for each kind of operator, and their SQL."""
+"""Queries over the driver's tables that call functions and single operators, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import clean, fold, positive_int, salary_text, work_mode
+from tessera.functions.text import REMOTE_WORDS, clean, fold, positive_int, salary_text, work_mode
 from tessera.functions.urls import TRACKING, canonical_url as canonical
 from tessera.operators.components import connected_components
 from tessera.operators.grouping import LEGAL_FORMS, company_key, dedup_key as key_of, title_key
@@ -27,12 +27,12 @@ def query(sql: str):
     return register
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _TRACKED = ", ".join(f"'{t}'" for t in TRACKING)
-_CANONICAL = rf"""
+CANONICAL = rf"""
   SELECT page_id, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || '://'
     || regexp_replace(lower(regexp_extract(url, '^[^:]*://([^/?#]*)', 1)), '^www\.', '')
     || CASE WHEN regexp_replace(regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1), '/+$', '') = '' THEN '/'
@@ -43,26 +43,19 @@ _CANONICAL = rf"""
 """
 
 
-@query(_CANONICAL)
+@query(CANONICAL)
 def canonical_url(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", canonical(F.col("url")).alias("canonical"))
+    return table(spark, sf_dir, "pages").select("page_id", canonical(F.col("url")).alias("canonical"))
 
 
-@query(f"SELECT canonical, count(*)::BIGINT AS pages, min(page_id) AS first_page FROM ({_CANONICAL}) GROUP BY canonical HAVING count(*) > 1")
+@query(f"SELECT canonical, count(*)::BIGINT AS pages, min(page_id) AS first_page FROM ({CANONICAL}) GROUP BY canonical HAVING count(*) > 1")
 def url_groups(spark, sf_dir):
     return canonical_url(spark, sf_dir).groupBy("canonical").agg(F.count("*").alias("pages"), F.min("page_id").alias("first_page")).where("pages > 1")
 
 
-@query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
-def exact_dedup(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
-    # the digest stands for the text, so that texts aren't shuffled; equal texts of a task meet before it
-    return docs.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min_by(F.struct("doc_id", "source"), "doc_id").alias("first")).select("first.doc_id", "first.source")
-
-
 @query("SELECT doc_id, sha256(text) AS content_hash, 'j' || substr(sha1(text), 1, 15) AS job_id FROM documents")
 def content_hash(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"), job_id_of(F.col("text")).alias("job_id"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"), job_id_of(F.col("text")).alias("job_id"))
 
 
 @query(r"""
@@ -70,7 +63,7 @@ SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9+#]+', ' ', 'g'))
   len(list_filter(string_split(regexp_replace(lower(p_name), '[^a-z0-9+#]+', ' ', 'g'), ' '), lambda w: starts_with(w, 'part'))) > 0 AS matches
 FROM part""")
 def fold_match(spark, sf_dir):
-    part = _t(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part")
     return part.select("p_partkey", fold(F.col("p_name")).alias("folded"), title_matches(F.col("p_name"), ("part",)).alias("matches"))
 
 
@@ -78,7 +71,7 @@ def fold_match(spark, sf_dir):
 SELECT p_partkey, trim(regexp_replace(lower(regexp_replace('(x) ' || p_type || ' [y] ' || p_brand, '[\(\[][^\)\]]*[\)\]]', ' ', 'g')), '[^a-z0-9+#]+', ' ', 'g')) AS title FROM part""")
 def title_notes(spark, sf_dir):
     title = F.concat(F.lit("(x) "), "p_type", F.lit(" [y] "), "p_brand")
-    return _t(spark, sf_dir, "part").select("p_partkey", title_key(title).alias("title"))
+    return table(spark, sf_dir, "part").select("p_partkey", title_key(title).alias("title"))
 
 
 _LEGAL = ", ".join(f"'{w}'" for w in LEGAL_FORMS)
@@ -88,60 +81,11 @@ _LEGAL = ", ".join(f"'{w}'" for w in LEGAL_FORMS)
 SELECT s_suppkey, c || '|supplier of goods' AS dedup_key FROM (
   SELECT s_suppkey, array_to_string(list_filter(string_split(trim(regexp_replace(lower(s_name || ', Inc.'), '[^a-z0-9+#]+', ' ', 'g')), ' '), lambda w: w NOT IN ({_LEGAL})), ' ') AS c FROM supplier) WHERE c <> ''""")
 def company_keys(spark, sf_dir):
-    supplier = _t(spark, sf_dir, "supplier")
+    supplier = table(spark, sf_dir, "supplier")
     name = F.concat("s_name", F.lit(", Inc."))
     return supplier.where(company_key(name) != "").select("s_suppkey", key_of(name, F.lit("Supplier of goods (remote)")).alias("dedup_key"))
 
 
-_RULES = """CASE WHEN o_totalprice IS NULL OR o_orderpriority = '' THEN 'missing_required_field'
-  WHEN o_orderdate < TIMESTAMP '1993-01-01' OR o_orderdate > TIMESTAMP '1998-01-01' THEN 'invalid_date'
-  WHEN o_totalprice < 1000 OR o_totalprice > 300000 THEN 'invalid_amount'
-  WHEN o_orderstatus = 'P' THEN 'pending' END"""
-
-
-@query(f"SELECT coalesce(rule, 'kept') AS rule, count(*)::BIGINT AS records, min(o_orderkey) AS example FROM (SELECT *, {_RULES} AS rule FROM orders) GROUP BY 1")
-def rule_chain(spark, sf_dir):
-    date, price = F.col("o_orderdate"), F.col("o_totalprice")
-    low, high = (F.lit(x).cast("timestamp_ntz") for x in ("1993-01-01", "1998-01-01"))
-    rules = F.coalesce(
-        F.when(price.isNull() | (F.col("o_orderpriority") == ""), "missing_required_field"),
-        F.when((date < low) | (date > high), "invalid_date"),
-        F.when((price < 1000) | (price > 300000), "invalid_amount"),
-        F.when(F.col("o_orderstatus") == "P", "pending"),
-        F.lit("kept"),
-    )
-    return _t(spark, sf_dir, "orders").groupBy(rules.alias("rule")).agg(F.count("*").alias("records"), F.min("o_orderkey").alias("example"))
-
-
-@query("""
-SELECT event_type, count(*)::BIGINT AS records, (count(*) FILTER (WHERE value >= 50))::BIGINT AS kept, (count(*) FILTER (WHERE value < 10))::BIGINT AS rejected,
-  count(DISTINCT user_id)::BIGINT AS users, max(event_id) AS last_event FROM events GROUP BY event_type""")
-def outcome_stats(spark, sf_dir):
-    value = F.col("value")
-    return _t(spark, sf_dir, "events").groupBy("event_type").agg(
-        F.count("*").alias("records"), F.count_if(value >= 50).alias("kept"), F.count_if(value < 10).alias("rejected"), F.countDistinct("user_id").alias("users"), F.max("event_id").alias("last_event")
-    )
-
-
-@query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
-def json_extract(spark, sf_dir):
-    body = F.try_parse_json("props")
-    return _t(spark, sf_dir, "events").select("event_id", F.try_variant_get(body, "$.k", "bigint").alias("k"))
-
-
-@query("""
-WITH RECURSIVE k AS (SELECT doc_id, md5(text) AS key FROM documents UNION SELECT doc_id, 's' || substring(text, 1, 40) FROM documents),
-e AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM k a JOIN k b USING (key)),
-r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
-SELECT a AS doc_id, min(b) AS component FROM r GROUP BY a""")
-def components(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
-    keys = docs.select("doc_id", F.explode(F.array(F.md5("text"), F.concat(F.lit("s"), F.substring("text", 1, 40)))).alias("key"))
-    first = keys.groupBy("key").agg(F.min("doc_id").alias("first"))
-    found = connected_components(keys.join(first, "key").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
-    return found.select(F.col("node").alias("doc_id"), "component")
-
-
 @query("""
 WITH RECURSIVE k AS (SELECT doc_id, md5(text) AS key FROM documents UNION SELECT doc_id, 'n' || n_chars || '|' || source FROM documents),
 e AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM k a JOIN k b USING (key)),
@@ -149,109 +93,13 @@ r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT a AS doc_id, min(b) AS component FROM r GROUP BY a""")
 def whole_key_components(spark, sf_dir):
     """As components, but both keys come from whole columns: the text, and source with n_chars."""
-    docs = _t(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     keys = docs.select("doc_id", F.explode(F.array(F.md5("text"), F.concat(F.lit("n"), F.col("n_chars").cast("string"), F.lit("|"), "source"))).alias("key"))
     first = keys.groupBy("key").agg(F.min("doc_id").alias("first"))
     found = connected_components(keys.join(first, "key").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
     return found.select(F.col("node").alias("doc_id"), "component")
 
 
-@query("""
-WITH r AS (SELECT *, CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 ELSE 4 END AS rank, CASE WHEN n_chars % 3 = 0 THEN NULL ELSE n_chars END AS size FROM documents)
-SELECT source, arg_min(doc_id, rank::BIGINT * 1000000000 + doc_id) AS first_doc, arg_min(lang, rank::BIGINT * 1000000000 + doc_id) AS lang,
-  arg_min(size, rank::BIGINT * 1000000000 + doc_id) FILTER (WHERE size IS NOT NULL) AS size FROM r GROUP BY source""")
-def priority_merge(spark, sf_dir):
-    rank = F.array_position(F.array(*map(F.lit, ("en", "de", "fr"))), F.col("lang"))
-    ranked = _t(spark, sf_dir, "documents").withColumns({"rank": F.when(rank > 0, rank).otherwise(4), "size": F.when(F.col("n_chars") % 3 != 0, F.col("n_chars"))})
-    order = F.struct("rank", "doc_id")
-    return ranked.groupBy("source").agg(F.min_by("doc_id", order).alias("first_doc"), F.min_by("lang", order).alias("lang"), F.min_by("size", F.when(F.col("size").isNotNull(), order)).alias("size"))
-
-
-@query("""
-WITH c AS (SELECT max(ts) - INTERVAL 10 DAYS AS cut FROM events),
-old AS (SELECT * FROM events, c WHERE ts < cut), new AS (SELECT * FROM events, c WHERE ts >= cut)
-SELECT new.event_id, arg_max(old.event_id, (old.ts, old.event_id)) AS matched
-FROM new LEFT JOIN old ON new.user_id = old.user_id AND new.event_type = old.event_type AND old.ts >= new.ts - INTERVAL 60 DAYS GROUP BY new.event_id""")
-def window_match(spark, sf_dir):
-    events = _t(spark, sf_dir, "events")
-    cut = events.agg((F.max("ts") - F.expr("INTERVAL 10 DAYS")).alias("cut"))
-    marked = events.join(F.broadcast(cut)).select("event_id", "user_id", "event_type", "ts", (F.col("ts") < F.col("cut")).alias("old"))
-    old = marked.where("old").select("user_id", "event_type", F.col("ts").alias("old_ts"), F.col("event_id").alias("old_id"))
-    near = marked.where("NOT old").join(old, ["user_id", "event_type"], "left")
-    inside = F.when(F.col("old_ts") >= F.col("ts") - F.expr("INTERVAL 60 DAYS"), F.struct("old_ts", "old_id"))
-    return near.groupBy("event_id").agg(F.max_by("old_id", inside).alias("matched"))
-
-
-@query("""
-WITH a AS (SELECT user_id, min(event_id) AS first_event, max(value) AS value FROM events WHERE event_id % 2 = 0 GROUP BY user_id),
-b AS (SELECT user_id, min(event_id) AS first_event, max(value) AS value FROM events WHERE event_id % 2 = 1 GROUP BY user_id)
-SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.first_event, b.first_event) AS first_event, coalesce(a.value, b.value) AS value, a.user_id IS NULL AS is_new
-FROM a FULL JOIN b ON a.user_id = b.user_id""")
-def upsert_links(spark, sf_dir):
-    events = _t(spark, sf_dir, "events")
-
-    def side(n: int, name: str) -> DataFrame:
-        return events.where(F.col("event_id") % 2 == n).groupBy("user_id").agg(F.min("event_id").alias(f"{name}_event"), F.max("value").alias(f"{name}_value"))
-
-    both = side(0, "old").join(side(1, "new"), "user_id", "full")
-    return both.select("user_id", F.coalesce("old_event", "new_event").alias("first_event"), F.coalesce("old_value", "new_value").alias("value"), F.col("old_event").isNull().alias("is_new"))
-
-
-@query("""
-SELECT 'customers_without_orders' AS name, count(*)::BIGINT AS failing FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NULL
-UNION ALL SELECT 'orders_without_customer', count(*)::BIGINT FROM orders LEFT JOIN customer ON c_custkey = o_custkey WHERE c_custkey IS NULL
-UNION ALL SELECT 'repeated_names', count(*)::BIGINT FROM (SELECT p_name FROM part GROUP BY p_name HAVING count(*) > 1)""")
-def anti_checks(spark, sf_dir):
-    customer, orders = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders")
-    link = F.col("c_custkey") == F.col("o_custkey")
-    checks = {
-        "customers_without_orders": customer.join(orders, link, "left_anti"),
-        "orders_without_customer": orders.join(customer, link, "left_anti"),
-        "repeated_names": _t(spark, sf_dir, "part").groupBy("p_name").count().where("count > 1"),
-    }
-    out = None
-    for name, df in checks.items():
-        one = df.agg(F.count("*").alias("failing")).select(F.lit(name).alias("name"), "failing")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@query("""
-SELECT s_nationkey, count(DISTINCT s_suppkey)::BIGINT AS suppliers, (count(DISTINCT l_orderkey) FILTER (WHERE l_returnflag = 'R'))::BIGINT AS returned
-FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey GROUP BY s_nationkey""")
-def new_by_source(spark, sf_dir):
-    lines = _t(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_suppkey", "l_orderkey")
-    supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return supplier.join(lines, F.col("s_suppkey") == F.col("l_suppkey"), "left").groupBy("s_nationkey").agg(F.countDistinct("s_suppkey").alias("suppliers"), F.countDistinct("l_orderkey").alias("returned"))
-
-
-@query("""
-SELECT o_orderkey, o_totalprice, big_balance FROM (
-  SELECT o_orderkey, o_totalprice, CASE WHEN c_acctbal > 5000 THEN c_acctbal END AS big_balance FROM orders LEFT JOIN customer ON o_custkey = c_custkey)
-ORDER BY big_balance DESC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey LIMIT 10""")
-def topn_nulls_last(spark, sf_dir):
-    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    joined = _t(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    rows = joined.select("o_orderkey", "o_totalprice", F.when(F.col("c_acctbal") > 5000, F.col("c_acctbal")).alias("big_balance"))
-    return rows.orderBy(F.desc_nulls_last("big_balance"), F.desc_nulls_last("o_totalprice"), "o_orderkey").limit(10)
-
-
-@query("SELECT r_name, string_agg(DISTINCT n_name, ', ' ORDER BY n_name) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
-def list_agg(spark, sf_dir):
-    region = _t(spark, sf_dir, "region")
-    joined = _t(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_set("n_name")), ", ").alias("nations"))
-
-
-@query(r"""
-SELECT term, count(*)::BIGINT AS docs FROM (SELECT DISTINCT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents)
-WHERE term <> '' GROUP BY term ORDER BY docs DESC, term LIMIT 12""")
-def term_demand(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
-    terms = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("term")).where("term <> ''")
-    return terms.groupBy("term").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "term").limit(12)
-
-
 _PROFILE = Profile("", "", "senior", ("Python", "SQL"), 1200)
 
 
@@ -266,7 +114,7 @@ def affinity(spark, sf_dir):
     none, half, most = F.array().cast("array<string>"), F.array(F.lit("Python"), F.lit("Go")), F.array(*map(F.lit, ("Python", "SQL", "Go")))
     stack = F.when(size % 3 == 0, none).when(size % 3 == 1, half).otherwise(most)
     pay = F.when(size % 4 != 0, F.round("p_retailprice").cast("long"))
-    found = _t(spark, sf_dir, "part").withColumns({"stack": stack, "level": level, "pay": pay})
+    found = table(spark, sf_dir, "part").withColumns({"stack": stack, "level": level, "pay": pay})
     return found.select("p_partkey", affinity_of(F.col("stack"), F.col("level"), F.col("pay"), _PROFILE)[0].alias("affinity"))
 
 
@@ -275,51 +123,35 @@ SELECT p_partkey, CASE WHEN list_contains(w, 'junior') THEN 'junior' WHEN list_c
 FROM (SELECT p_partkey, p_size % 10 AS y, ['engineer', CASE p_size % 7 WHEN 0 THEN 'junior' WHEN 1 THEN 'lead' WHEN 2 THEN 'senior' ELSE 'plain' END] AS w FROM part)""")
 def seniority(spark, sf_dir):
     kind = F.get(F.array(*map(F.lit, ("Junior", "Lead", "Senior", "Plain", "Plain", "Plain", "Plain"))), F.col("p_size") % 7)
-    titled = _t(spark, sf_dir, "part").withColumn("title", F.concat(F.lit("Engineer "), kind)).withColumn("said", F.concat((F.col("p_size") % 10).cast("string"), F.lit("+ years of it")))
+    titled = table(spark, sf_dir, "part").withColumn("title", F.concat(F.lit("Engineer "), kind)).withColumn("said", F.concat((F.col("p_size") % 10).cast("string"), F.lit("+ years of it")))
     return titled.select("p_partkey", detect_seniority(fold(F.col("title")), F.col("said")).alias("seniority"))
 
 
-@query("""
-SELECT d.doc_id, coalesce(l.quality, -1)::INTEGER AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL OR l.quality = 0 OR l.toxic = 1 ORDER BY d.doc_id DESC LIMIT 50""")
-def stale_candidates(spark, sf_dir):
-    labels = _t(spark, sf_dir, "labels").withColumnRenamed("doc_id", "of")
-    joined = _t(spark, sf_dir, "documents").select("doc_id").join(labels, F.col("doc_id") == F.col("of"), "left")
-    return joined.where("of IS NULL OR quality = 0 OR toxic = 1").orderBy(F.desc("doc_id")).limit(50).select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"))
-
-
-@query("""
-SELECT d.doc_id, coalesce(l.quality, -1)::INTEGER AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL OR l.quality = 0 OR l.toxic = 1""")
-def all_stale_candidates(spark, sf_dir):
-    """As stale_candidates, without its limit."""
-    labels = _t(spark, sf_dir, "labels").withColumnRenamed("doc_id", "of")
-    joined = _t(spark, sf_dir, "documents").select("doc_id").join(labels, F.col("doc_id") == F.col("of"), "left")
-    return joined.where("of IS NULL OR quality = 0 OR toxic = 1").orderBy(F.desc("doc_id")).select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"))
-
-
 @query("""
 SELECT o_orderkey, CASE WHEN low = high THEN 'USD ' || format('{:,}', low) ELSE 'USD ' || format('{:,}', low) || '-' || format('{:,}', high) END || ' / year' AS salary
 FROM (SELECT o_orderkey, floor(o_totalprice)::BIGINT AS low, floor(o_totalprice)::BIGINT + (o_orderkey % 2) * 5000 AS high FROM orders) WHERE low > 0""")
 def salaries(spark, sf_dir):
     low = positive_int(F.col("o_totalprice").cast("string"))
-    orders = _t(spark, sf_dir, "orders").withColumn("low", low).where("low > 0").withColumn("high", F.col("low") + F.col("o_orderkey") % 2 * 5000)
+    orders = table(spark, sf_dir, "orders").withColumn("low", low).where("low > 0").withColumn("high", F.col("low") + F.col("o_orderkey") % 2 * 5000)
     return orders.select("o_orderkey", salary_text(F.col("low"), F.col("high"), F.lit("USD"), F.lit("year")).alias("salary"))
 
 
-@query("""
-SELECT conv_id, turn, nullif(trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), '') AS cleaned,
-  CASE WHEN contains(lower(text), 'remote') THEN 'remote' WHEN contains(lower(text), 'hybrid') THEN 'hybrid' WHEN role <> '' THEN 'onsite' END AS mode
-FROM conversations WHERE NOT regexp_matches(text, '[^\\x01-\\x7F]|&')""".replace("\\\\", "\\"))
-def cleaned_turns(spark, sf_dir):
-    rows = _t(spark, sf_dir, "conversations").where(~F.col("text").rlike(r"[^\x01-\x7F]|&"))
-    return rows.select("conv_id", "turn", clean(F.col("text")).alias("cleaned"), work_mode(F.col("role"), F.col("text")).alias("mode"))
+@query("SELECT user_id, event_id, n::BIGINT AS n FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n <= 3")
+def first_of_each(spark, sf_dir):
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return table(spark, sf_dir, "events").select("user_id", "event_id", F.row_number().over(order).cast("long").alias("n")).where("n <= 3")
 
 
-@query("SELECT page_id, length(html) AS raw_length FROM pages WHERE html IS NOT NULL")
-def page_lengths(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").where("html IS NOT NULL").select("page_id", F.char_length("html").cast("long").alias("raw_length"))
+#: References that occur in texts, decoded in SQL one by one; the operator decodes all of them.
+_DECODED = "replace(replace(replace(replace(replace(text, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&nbsp;', chr(160)), '&amp;', '&')"
+_BLANKS = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_REMOTE = " OR ".join(f"contains(said, '{w}')" for w in REMOTE_WORDS)
 
 
-@query("SELECT user_id, event_id, n::BIGINT AS n FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n <= 3")
-def first_of_each(spark, sf_dir):
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return _t(spark, sf_dir, "events").select("user_id", "event_id", F.row_number().over(order).cast("long").alias("n")).where("n <= 3")
+@query(rf"""
+SELECT conv_id, turn, nullif(trim(regexp_replace({_DECODED}, '{_BLANKS}', ' ', 'g')), '') AS cleaned,
+  CASE WHEN {_REMOTE} THEN 'remote' WHEN contains(said, 'hybrid') THEN 'hybrid' WHEN role <> '' THEN 'onsite' END AS mode
+FROM (SELECT *, lower(coalesce(role, '') || ' ' || coalesce(text, '')) AS said FROM conversations)""")
+def all_turns_cleaned(spark, sf_dir):
+    """Every turn, with references and blanks of any kind."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", clean(F.col("text")).alias("cleaned"), work_mode(F.col("role"), F.col("text")).alias("mode"))

@@ -223,11 +223,11 @@ def offending_rows(store: Store | Tables) -> dict[str, DataFrame]:
 
 
 def check_counts(store: Store | Tables) -> DataFrame:
-    """check and failing: the number of offending rows of every check."""
-    counted = [df.agg(F.count("*").alias("failing")).select(F.lit(name).alias("check"), "failing") for name, df in offending_rows(store).items()]
+    """name and failing: the number of offending rows of every check."""
+    counted = [df.agg(F.count("*").alias("failing")).select(F.lit(name).alias("name"), "failing") for name, df in offending_rows(store).items()]
     return reduce(DataFrame.unionByName, counted)
 
 
 def load_checks(store: Store | Tables) -> dict[str, int]:
     """The number of offending rows by check, for the checks that fail."""
-    return {r["check"]: r["failing"] for r in check_counts(store).where("failing > 0").collect()}
+    return {r["name"]: r["failing"] for r in check_counts(store).where("failing > 0").collect()}

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tessera.plans import queries
+from tessera.plans import operator_queries as queries
 
 SF = "/root/testdata/sf0.001"
 

@@ -23,15 +23,14 @@ def test_all_turns_cleaned(spark, tmp_path):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
-def test_all_stale_candidates(spark, tmp_path):
-    """More stale rows than the 50 of stale_candidates."""
-    labels = [(i, i % 2, int(i % 5 == 1)) for i in range(0, 120, 3)]
-    spark.createDataFrame([(i,) for i in range(120)], "doc_id long").write.parquet(f"{tmp_path}/documents.parquet")
+def test_stale_jobs(spark, tmp_path):
+    """All of them, however many, for each reason."""
+    labels = [(i, i % 2, int(i % 5 == 1)) for i in range(0, 240, 3)]
+    spark.createDataFrame([(i, 9) for i in range(240)], "doc_id long, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     known = {i: (quality, toxic) for i, quality, toxic in labels}
-    want = [(i, known.get(i, (-1, 0))[0]) for i in reversed(range(120)) if i not in known or known[i][0] == 0 or known[i][1] == 1]
-    assert len(want) > 50
-    assert [tuple(r) for r in __spark_entry__.queries()["all_stale_candidates"](spark, str(tmp_path)).collect()] == want
+    want = [i for i in range(240) if i not in known or known[i][0] == 0 or known[i][1] == 1 or i % 7 == 0 or i % 11 == 0]
+    assert sorted(r["job_id"] for r in __spark_entry__.queries()["stale_jobs"](spark, str(tmp_path)).collect()) == want
 
 
 def test_limit_of_candidates(spark):
