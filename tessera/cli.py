@@ -10,6 +10,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from tessera.plans.enrich import ModelProvider
+from tessera.plans.model_client import ModelClient
 from tessera.plans.profile import load_profile
 from tessera.plans.report import build_report
 from tessera.plans.run import run
@@ -34,7 +36,8 @@ def _run(args, samples: str | None, boards: str | None, now: datetime | None) ->
         for source, key, why in landed.errors:
             print(f"{source} {key}: {why}", file=sys.stderr)
     profile = load_profile(args.profile) if args.profile else None
-    done = run(spark, payloads, root, profile, now, mode, args.ai if profile else "off", limit=args.enrich_limit)
+    model = ModelProvider(ModelClient(args.model_url, args.model), args.model) if args.model_url else None
+    done = run(spark, payloads, root, profile, now, mode, args.ai if profile else "off", model, limit=args.enrich_limit)
     (output / f"report-run-{done.run_id}.md").write_text(done.report, encoding="utf-8")
     print(done.report)
 
@@ -80,7 +83,9 @@ def main(argv: list[str] | None = None) -> int:
         sub.add_argument("--output", default="output")
         sub.add_argument("--db")
         sub.add_argument("--profile")
-        sub.add_argument("--ai", choices=("off", "simulated", "auto"))
+        sub.add_argument("--ai", choices=("off", "simulated", "model", "auto"))
+        sub.add_argument("--model-url", help="address of a language model; its key is in TESSERA_MODEL_KEY")
+        sub.add_argument("--model", default="default")
         sub.add_argument("--enrich-limit", type=int)
         if name == "demo":
             sub.add_argument("--samples", required=True, help="folder with day1, day2 and boards.toml")
