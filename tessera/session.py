@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Used only where the cluster names no shared folder, as in tests on one machine.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
+#: Bytes of an Arrow batch, about; whole texts go to Python workers, and ten thousand long ones are too much at once.
+BATCH_BYTES = 1 << 23
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -44,6 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
     return LOCAL_CHECKPOINTS
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most about BATCH_BYTES from here on, whatever the length of texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 
@@ -51,6 +61,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     compressed, so that later readers fetch only what they use. The files go when the program ends.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_folder(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
