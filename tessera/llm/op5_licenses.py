@@ -11,8 +11,8 @@ least of one of its two windows there and here with probability of at least 8/15
 (1 - u**2)**2, if all neighbours differ; 2/3 for templates of one shingle), so that all BANDS = 16
 miss it with 5e-6 at most (2e-8 for one shingle), and miss a template that has more of them less often.
 
-1. Bands come first: a window whose values a Bloom filter of the templates' values doesn't know is
-   dropped where it is made, the others are joined with the index of values and retrieve templates.
+1. Bands come first: the values of every window are joined with the index of the templates' values,
+   which is bounded and broadcast, and those that meet retrieve templates.
 2. Then the document's shingles (a long one in parts of PART) are intersected with those of the
    templates that were retrieved, and it is a match if it holds at least CONTAINED of a template's.
 
@@ -24,19 +24,15 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WIDTH, BANDS, CONTAINED = 5, 16, 0.75
 #: Shingles of the templates of one pass, which bounds its index; more templates take more passes.
-BLOCK_SHINGLES = 50_000
+BLOCK_SHINGLES = 20_000
 #: Shingles of a part of a document.
 PART = 4096
-#: Probes of the Bloom filter, and its bits for each value.
-PROBES, BITS_EACH = 3, 48
-
 # Texts by which licenses are named or granted.
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -94,22 +90,8 @@ def _band(b: int) -> Column:
 
 
 def _bands() -> Column:
-    return F.array(*[F.struct(F.lit(b).alias("band"), _band(b).alias("value")) for b in range(BANDS)])
-
-
-def _places(value: int, bits: int) -> list[int]:
-    return [(value >> (64 // PROBES * p)) & (bits - 1) for p in range(PROBES)]
-
-
-def _known(value: Column, filled: Column, bits: int) -> Column:
-    """Whether the Bloom filter (an array of longs) may know the value."""
-
-    def one(p: int) -> Column:
-        place = F.shiftrightunsigned(value, 64 // PROBES * p).bitwiseAND(F.lit(bits - 1))
-        word = F.get(filled, F.shiftright(place, 6).cast("int"))
-        return F.call_function("shiftright", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
-
-    return reduce(and_, [one(p) for p in range(PROBES)])
+    """The window's value in each band; those of one shingle differ from band to band."""
+    return F.array(*[_band(b) for b in range(BANDS)])
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id", text: str = "text", contained: float = CONTAINED, block: int = BLOCK_SHINGLES, part: int = PART) -> DataFrame:
@@ -127,22 +109,15 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id",
             blocks.append({})
             size = 0
         size += len(key[1]) * (key not in blocks[-1])
-        blocks[-1].setdefault(key, set()).update((b["band"], b["value"]) for b in row["_bands"])
+        blocks[-1].setdefault(key, set()).update(row["_bands"])
     return reduce(DataFrame.unionByName, [_scan_block(docs, b, doc_id, text, contained, part) for b in blocks])
 
 
 def _scan_block(docs: DataFrame, templates: dict, doc_id: str, text: str, contained: float, part: int) -> DataFrame:
-    """templates: the (band, value) pairs of (license, different shingles)."""
+    """templates: the band values of (license, different shingles)."""
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(i, name, list(w)) for i, (name, w) in enumerate(templates)], "_template int, license string, _wanted array<bigint>")
-    values = {x for own in templates.values() for x in own}
-    index = spark.createDataFrame(sorted((i, b, v) for i, own in enumerate(templates.values()) for b, v in own), "_of int, _band int, _value long")
-    bits = 1 << max(10, (BITS_EACH * len(values)).bit_length())
-    words = [0] * (bits // 64)
-    for _, v in values:
-        for place in _places(v % 2**64, bits):
-            words[place // 64] |= 1 << place % 64
-    filled = spark.createDataFrame([([w - 2**64 if w >> 63 else w for w in words],)], "bits array<bigint>").scalar()
+    index = spark.createDataFrame(sorted((v, i) for i, own in enumerate(templates.values()) for v in own), "_known long, _of int")
 
     own = F.col(f"`{text}`")
     worded = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{doc_id}`"), own).alias("_row"), _words(own).alias("_words"))
@@ -151,9 +126,8 @@ def _scan_block(docs: DataFrame, templates: dict, doc_id: str, text: str, contai
     parts = F.transform(starts, lambda i: F.slice(F.col("_shingles"), i, F.lit(part)))
     parted = hashed.select("doc_id", "_row", F.posexplode(parts).alias("_part", "_held"))
     windows = parted.select("doc_id", "_row", "_part", "_held", F.explode(_windows(F.col("_held"))).alias("_window"))
-    asked = windows.where(reduce(or_, [_known(_band(b), filled, bits) for b in range(BANDS)]))
-    banded = asked.select("doc_id", "_row", "_part", "_held", F.explode(_bands()).alias("_at"))
-    found = banded.join(F.broadcast(index), (F.col("_at.band") == F.col("_band")) & (F.col("_at.value") == F.col("_value")))
+    banded = windows.select("doc_id", "_row", "_part", "_held", F.explode(_bands()).alias("_value"))
+    found = banded.join(F.broadcast(index), F.col("_value") == F.col("_known"))
     retrieved = found.groupBy("doc_id", "_row", "_part", "_of").agg(F.first("_held").alias("_held"))
     both = retrieved.join(F.broadcast(wanted), F.col("_of") == F.col("_template"))
     shared = both.select("doc_id", "_row", "license", F.size("_wanted").cast("long").alias("shingles"), "_template", F.explode(F.array_intersect("_held", "_wanted")).alias("_shingle"))
