@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tessera.llm.bitfilter import bit_filter, passes
 from tessera.llm.fmindex import FMIndex, repeated_spans
 from tessera.llm.words import SPACED, Cut, cut_rows, fold_sums, scramble, spread, windows
-from tessera.session import materialize
+from tessera.session import discard, materialize
 
 WINDOW = 35
 #: Words of an anchor.
@@ -317,6 +317,7 @@ def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keyed = raw.select(_key(), "_raw")
     segs = materialize(_segments(keyed, keys, passing, bit_filter(often, "anchor") if often.head(1) else None, window), "segments")
     spans = materialize(_spans(segs, max(1, -(-segs.count() // SHARD_SEGMENTS)), window), "spans")
+    discard(segs)
     copies = profiles.where("mark IS NOT NULL").groupBy("mark").agg(F.count("*").alias("copies"), F.min("n").alias("n"), F.min(_key()).alias("_key"))
     wanted = materialize(spans.join(copies.where("copies = 1").select("mark", "_key"), "mark"), "wanted")
     nothing = F.lit(hashlib.sha256(b"").digest())

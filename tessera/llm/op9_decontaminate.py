@@ -31,13 +31,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.words import LETTERED, cut_rows, lettered_words, spread
-from tessera.session import materialize
+from tessera.session import discard, materialize
 
 WIDTH, MIN_ITEMS = 8, 2
 #: Words of benchmark items that the driver and a task hold at once.
 BLOCK_WORDS = 500_000
 #: Bytes of texts in a segment; a longer text is a segment of its own.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 INDEX = "segment long, doc_ids array<long>, marks array<long>, sizes array<long>, terms binary, ends binary, places binary"
 
@@ -256,7 +256,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         F.array_sort(F.collect_set(F.when(exact, F.col("item")))).alias("items"),
         F.array_sort(F.collect_set("item")).alias("any"),
     )
-    lists = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "marks", "sizes")).alias("row", "own"))
+    lists = materialize(index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "marks", "sizes")).alias("row", "own")), "rows")
+    discard(index)
     joined = lists.join(by_row, (F.col("segment") == F.col("of")) & (F.col("row") == F.col("of_row")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(

@@ -6,12 +6,18 @@ polynomial of its letters, taken from running sums, and then mixed.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except AttributeError:  # another C library
+    _trim = None
+
 #: Bytes of texts that are cut at once; a text that is longer is cut by itself, its words hashed in such pieces.
 CHUNK = 1 << 18
 #: Words of more bytes are hashed by xxh3, as sums over long words of two letters might be made to meet.
@@ -140,17 +146,26 @@ def cut_rows(column: pa.Array, alphabet: Alphabet, most: int = CHUNK) -> Iterato
         column = column.combine_chunks()
     if not len(column):
         return
-    if column.null_count:
-        column = column.fill_null(b"")
     wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
     _, offsets, raw = column.buffers()
     at = np.frombuffer(offsets, wide)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if column.null_count and (np.diff(at)[column.is_null().to_numpy(zero_copy_only=False)] > 0).any():
+        yield from cut_rows(column.fill_null(b""), alphabet, most)
+        return
     data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.empty(0, np.uint8)
     row = 0
     while row < len(column):
         upto = min(len(column), max(row + 1, int(np.searchsorted(at, at[row] + most, "right")) - 1))
         yield Cut(row, data[at[row] : at[upto]], at[row : upto + 1] - at[row], alphabet)
         row = upto
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and hold it while other stages run."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def spread(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
