@@ -21,7 +21,7 @@ from tessera.llm.op2_jaccard import jaccard_copies
 from tessera.llm.op3_sharding import shard, with_digest
 from tessera.llm.op8_quality import THRESHOLD, quality_field, score_quality
 from tessera.llm.op9_decontaminate import decontaminate
-from tessera.session import materialize
+from tessera.session import discard, materialize
 
 
 def _columns(docs: DataFrame) -> list:
@@ -93,7 +93,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            discard(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
