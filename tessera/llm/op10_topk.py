@@ -149,16 +149,15 @@ def _packed(rows: DataFrame, number: str, most: int, least: int) -> DataFrame:
             if sum(len(r[0]) for r in rows):
                 yield out(dims, rows)
 
-    packed = rows.select("_id", "_vector", "_dims").repartition(least).mapInArrow(pack, f"{number} long, piece long, dims int, ids binary, points binary")
-    return packed
+    return rows.select("_id", "_vector", "_dims").repartition(least).mapInArrow(pack, f"{number} long, piece long, dims int, ids binary, points binary")
 
 
 def topk(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """vectors, queries: as whole_vectors gives them. query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
-    n, asked = vectors.count(), queries.count()
+    n = vectors.count()
     shards = max(1, min(-(-n // 512), max(spark.sparkContext.defaultParallelism, -(-n // shard_rows))))
-    blocks = max(1, -(-asked // block))
+    blocks = max(1, -(-queries.count() // block))
     trees = materialize(_packed(vectors, "shard", shard_rows, shards).withColumnRenamed("piece", "tree"), "trees")
     asked = materialize(_packed(queries, "block", block, blocks), "queries")
     best, done = None, 0
