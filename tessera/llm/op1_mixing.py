@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.columns import Aside
 from tessera.llm.prefix import KEY_BITS, cell_count, cell_of, running_sums
+from tessera.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -60,17 +61,19 @@ def mix(
     if its middle lies before the cut.
     """
     aside = Aside(docs)
-    return aside.back(_mix(aside, weights, most, seed, docs.count() if rows is None else rows), *RESULTS)
+    return aside.back(_mix(aside, _keyed(aside, seed), weights, most, docs.count() if rows is None else rows), *RESULTS)
 
 
-def _mix(aside: Aside, weights: tuple[int, ...], most: int, seed: str, rows: int) -> DataFrame:
-    cells, text, source = cell_count(rows), aside("text"), aside("source")
+def _keyed(aside: Aside, seed: str) -> DataFrame:
+    """The input with _size and _key, the only columns that need the text."""
+    text = aside("text")
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(aside("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
-    keyed = (
-        aside.df.withColumn("_size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
-        .withColumn("_group", F.when(source.isNull(), "n").otherwise(F.concat(F.lit("v"), source)))
-        .withColumn("_key", key)
-    )
+    return aside.df.withColumn("_size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")).withColumn("_key", key)
+
+
+def _mix(aside: Aside, keyed: DataFrame, weights: tuple[int, ...], most: int, rows: int) -> DataFrame:
+    cells, source = cell_count(rows), aside("source")
+    keyed = keyed.withColumn("_group", F.when(source.isNull(), "n").otherwise(F.concat(F.lit("v"), source)))
     keyed = keyed.withColumn("_cell", cell_of(F.conv(F.substring("_key", 1, KEY_BITS // 4), 16, 10).cast("long"), cells))
     per_source = keyed.groupBy("_group", source.alias("source")).agg(F.sum("_size").alias("source_size"))
     targets = source_targets(per_source.select("source", "source_size"), weights, most)
@@ -95,14 +98,16 @@ def _mix(aside: Aside, weights: tuple[int, ...], most: int, seed: str, rows: int
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
     """The mixed corpus itself, with the columns of docs: each document as often as the mix takes it."""
     aside = Aside(docs)
-    repeated = _mix(aside, weights, most, seed, docs.count()).where("_copies > 0")
+    repeated = _mix(aside, _keyed(aside, seed), weights, most, docs.count()).where("_copies > 0")
     return aside.back(repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mix(docs).select(
-        "doc_id",
+    """The mix of documents, whose texts are read once: what is left of them is written."""
+    aside = Aside(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
+    keyed = materialize(_keyed(aside, "mix").select(aside("doc_id"), aside("source"), "_size", "_key"), "sized")
+    return _mix(aside, keyed, WEIGHTS, MAX_EPOCHS, keyed.count()).select(
+        aside("doc_id").alias("doc_id"),
         F.col("_size").alias("size"),
         F.col("_source_size").cast("long").alias("source_size"),
         F.col("_target").alias("target"),
