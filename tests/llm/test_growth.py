@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tessera.llm import op2_jaccard
+from tessera.llm.words import LOWERED, cut_rows
 
 
 def test_shared_passages_make_no_large_family(spark, monkeypatch):
@@ -28,3 +30,45 @@ def test_shared_passages_make_no_large_family(spark, monkeypatch):
     got = {x["doc_id"]: x["component_id"] for x in op2_jaccard.jaccard_components(docs).collect()}
     assert got == {i: i for i in range(300)} | {300: 7}
     assert largest[0] < 30
+
+
+def _shuffled(spark):
+    """Bytes that were shuffled in this session."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return store.executorSummary("driver").totalShuffleWrite()
+
+
+def test_shingles_are_shuffled_once(spark, monkeypatch, tmp_path):
+    """Postings go through one shuffle; what finds hot shingles and frequent ones sends far less."""
+    r = random.Random(5)
+    texts = [(i, " ".join(f"w{r.random()}" for _ in range(300))) for i in range(1500)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs, shingles = spark.read.parquet(str(tmp_path / "docs")), 1500 * 296
+    profiles = op2_jaccard._profiles
+    monkeypatch.setattr(op2_jaccard, "_profiles", lambda raw: (profiles(raw)[0], np.full(op2_jaccard.SKETCH, 1000, np.uint64)))
+    before = _shuffled(spark)
+    assert all(x["doc_id"] == x["component_id"] for x in op2_jaccard.jaccard_components(docs).collect())
+    assert _shuffled(spark) - before < 10 * shingles
+
+
+def test_frequent_shingles_are_those_of_many_texts(spark):
+    """Each shingle that OFTEN sampled texts hold passes, whatever the number of parts and tasks; few others do."""
+    r = random.Random(7)
+    passages = [" ".join(f"p{i}x{j}" for j in range(9)) for i in range(40)]
+    texts = [" ".join([f"a{i} b{i} c{i} d{i} e{i} f{i}", *r.sample(passages, 3)]) for i in range(900)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("cast(text as binary) AS _raw").repartition(5)
+    sampled = {bytes(x["_raw"]).decode() for x in docs.where(f"pmod(xxhash64(_raw), {op2_jaccard.SHARE}) = 0").collect()}
+    held = {}
+    for t in texts:
+        w = t.split()
+        for s in {tuple(w[i : i + 5]) for i in range(len(w) - 4)}:
+            held.setdefault(s, []).append(t in sampled)
+    keys = list(held)
+    marks = np.concatenate([op2_jaccard.shingle_sets(cut)[0] for cut in cut_rows(pa.array([" ".join(s).encode() for s in keys], pa.binary()), LOWERED)])
+    for total in (1, op2_jaccard.SHARE * op2_jaccard.COUNT_ROWS * 50):
+        bits = op2_jaccard._frequent(docs, np.array([total]))
+        found = op2_jaccard.passes(bits, marks)
+        often = np.array([sum(held[s]) >= op2_jaccard.OFTEN for s in keys])
+        assert often.any() and found[often].all()
+        assert found[~often].mean() < 0.1
