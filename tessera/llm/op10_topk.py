@@ -1,13 +1,15 @@
 """Exact top-k search by inner product: a KD-tree in each shard.
 
 Components are first turned into integers, floor(scale * x). The vectors are dealt evenly into shards,
-and each shard's tree, split at medians of its widest component and with a tight box at every node, is
-written once. A query goes through a tree best first: of the nodes that it has reached it opens the one
-whose box allows the largest inner product, and it stops where that bound is below its kth score.
+which are written once, in the narrowest type that holds them. A shard is searched by trees over runs of
+its rows, split at medians of the widest component and with a tight box at every node. A query goes
+through a tree best first: of the nodes that it has reached it opens the one whose box allows the largest
+inner product, and it stops where that bound is below its kth score, which it takes to the next tree.
 
 Queries are rows too: blocks of them meet the shards in waves, each wave with three times as many shards
 as all before it. Every block has begun in another shard, and the kth scores that a wave leaves are what
-the next wave's traversals start from. Neither vectors nor queries pass through the driver.
+the next wave's traversals start from. Neither vectors nor queries pass through the driver. Each pair of
+a block and a shard is shuffled once; both are large, as what is shuffled grows with the number of pairs.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; vectors
 are compared with those of their own length; a null id is no query and no candidate; rows that
@@ -23,17 +25,20 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.words import give_back
 from tessera.session import materialize
 
 K, SCALE, EVERY = 20, 64.0, 20
-#: Queries of a block, rows of a leaf, rows aimed at in a shard, and bytes that a block or a tree has at most.
-BLOCK, LEAF, SHARD_ROWS, MOST_BYTES = 4096, 128, 8192, 1 << 25
+#: Queries of a block and rows of a shard aimed at, bytes that a piece of either has at most, queries that go through a
+#: tree at once, rows of a tree and of a leaf.
+BLOCK, SHARD_ROWS, MOST_BYTES, ASKED, TREE_ROWS, LEAF = 1 << 17, 1 << 17, 1 << 25, 4096, 8192, 128
+#: What a task gets of a block of queries and a piece of a shard.
+PAIR = ("block", "piece", "asked_kind", "names", "asked", "known", "dims", "kind", "ids", "points")
 #: Tasks that a wave is dealt over at most.
 WAVE_TASKS = 10_000
 
@@ -64,12 +69,18 @@ class Tree:
 
     def search(self, names: np.ndarray, queries: np.ndarray, kth: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows of (query, id, score) that hold every one of a query's k best that beats or ties kth."""
-        best, best_id = np.full((len(names), k), -np.inf), np.full((len(names), k), np.iinfo(np.int64).max)
+        best, best_id = no_best(len(names), k)
+        self.improve(names, queries, kth.astype(np.float64).copy(), best, best_id, k)
+        q, j = np.nonzero(~np.isneginf(best))
+        return q, best_id[q, j], best[q, j]
+
+    def improve(self, names: np.ndarray, queries: np.ndarray, kth: np.ndarray, best: np.ndarray, best_id: np.ndarray, k: int) -> None:
+        """Put what beats or ties kth among each query's best, and raise kth."""
         # the largest inner product of each query with any point of each node's box
         bounds = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
         reached = np.full(bounds.shape, -np.inf, bounds.dtype)
         reached[:, 0] = bounds[:, 0]
-        kth, active = kth.astype(np.float64).copy(), np.arange(len(names))
+        active = np.arange(len(names))
         while len(active):
             node = reached[active].argmax(1)
             bound = reached[active, node]
@@ -84,8 +95,6 @@ class Tree:
             by_leaf = np.argsort(leaf, kind="stable")
             for part in np.split(by_leaf, np.flatnonzero(np.diff(leaf[by_leaf])) + 1) if len(leaf) else ():
                 self._visit(int(leaf[part[0]]), who[part], names, queries, kth, best, best_id, k)
-        q, j = np.nonzero(~np.isneginf(best))
-        return q, best_id[q, j], best[q, j]
 
     def _visit(self, leaf: int, who: np.ndarray, names, queries, kth, best, best_id, k: int) -> None:
         """Put a leaf's points among the best of these queries, as far as they beat or tie kth."""
@@ -106,6 +115,10 @@ class Tree:
         kth[own] = np.maximum(kth[own], best[own, -1])
 
 
+def no_best(n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+
+
 def whole_vectors(df: DataFrame, id_col: str, vector: str, scale: float) -> DataFrame:
     """_id, _vector (array of doubles that are integers) and _dims of the rows that take part."""
     values = F.transform(F.col(f"`{vector}`"), lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("double"))
@@ -115,41 +128,50 @@ def whole_vectors(df: DataFrame, id_col: str, vector: str, scale: float) -> Data
     )
 
 
+def _narrow(points: np.ndarray) -> np.ndarray:
+    """points, which are integers, in the narrowest type that holds them: they are shuffled once for each pair."""
+    low, high = points.min(initial=0), points.max(initial=0)
+    for kind in (np.int8, np.int16, np.int32):
+        if np.iinfo(kind).min <= low and high <= np.iinfo(kind).max:
+            return points.astype(kind)
+    return points
+
+
 def _packed(rows: DataFrame, number: str, most: int, least: int) -> DataFrame:
-    """Each task's rows (_id, _vector, _dims) in pieces of at most `most` rows: number, piece, dims, ids, points.
+    """Each task's rows (_id, _vector, _dims) in pieces of at most `most` rows: number, piece, dims, kind, ids, points.
 
     A number is below `least`, which is the number of tasks; pieces of one number are told apart.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: dict[tuple[int, str], list] = {}
         task, piece = TaskContext.get().partitionId(), 0
 
-        def out(dims: int, rows: list) -> pa.RecordBatch:
+        def out(dims: int, kind: str, rows: list) -> pa.RecordBatch:
             nonlocal piece
             piece += 1
             ids, points = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
-            return pa.record_batch({number: pa.array([task], pa.int64()), "piece": pa.array([piece], pa.int64()), "dims": pa.array([dims], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()), "points": pa.array([points.tobytes()], pa.binary())})
+            return pa.record_batch({number: pa.array([task], pa.int64()), "piece": pa.array([piece], pa.int64()), "dims": pa.array([dims], pa.int32()), "kind": pa.array([kind]), "ids": pa.array([ids.tobytes()], pa.binary()), "points": pa.array([points.tobytes()], pa.binary())})
 
         for batch in batches:
             own, vectors = batch.column("_dims").to_numpy(), batch.column("_vector")
             ids = batch.column("_id").to_numpy()
             for dims in np.unique(own).tolist():
                 at = np.flatnonzero(own == dims)
-                points = vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), dims)
-                bound = max(1, min(most, MOST_BYTES // (8 * max(1, dims))))
-                for lo in range(0, len(at), bound):
-                    rows = held.setdefault(dims, [])
-                    rows.append((ids[at[lo : lo + bound]], points[lo : lo + bound]))
-                    while sum(len(r[0]) for r in rows) >= bound:
-                        ids_of, points_of = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
-                        yield out(dims, [(ids_of[:bound], points_of[:bound])])
-                        held[dims] = rows = [(ids_of[bound:], points_of[bound:])]
-        for dims, rows in held.items():
-            if sum(len(r[0]) for r in rows):
-                yield out(dims, rows)
-
-    return rows.select("_id", "_vector", "_dims").repartition(least).mapInArrow(pack, f"{number} long, piece long, dims int, ids binary, points binary")
+                points = _narrow(vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), dims))
+                kind = points.dtype.str
+                bound = max(1, min(most, MOST_BYTES // (points.itemsize * max(1, dims))))
+                while len(at):
+                    rows = held.setdefault((dims, kind), [])
+                    room = bound - sum(len(r[0]) for r in rows)
+                    rows.append((ids[at[:room]], points[:room]))
+                    if len(at) >= room:
+                        yield out(dims, kind, held.pop((dims, kind)))
+                    at, points = at[room:], points[room:]
+        for (dims, kind), rows in held.items():
+            yield out(dims, kind, rows)
+
+    return rows.select("_id", "_vector", "_dims").repartition(least).mapInArrow(pack, f"{number} long, piece long, dims int, kind string, ids binary, points binary")
 
 
 def topk(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -157,13 +179,14 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK,
     spark = vectors.sparkSession
     n = vectors.count()
     shards = max(1, min(-(-n // 512), max(spark.sparkContext.defaultParallelism, -(-n // shard_rows))))
-    blocks = max(1, -(-queries.count() // block))
+    asked_rows = queries.count()
+    blocks = max(1, min(-(-asked_rows // 2048), max(2 * spark.sparkContext.defaultParallelism, -(-asked_rows // block))))
     trees = materialize(_packed(vectors, "shard", shard_rows, shards).withColumnRenamed("piece", "tree"), "trees")
     asked = materialize(_packed(queries, "block", block, blocks), "queries")
     best, done = None, 0
     while done < shards:
         wave = min(shards - done, max(1, 3 * done))
-        found = _wave(trees, asked, best, k, done, wave, shards, min(WAVE_TASKS, 2 * wave * blocks))
+        found = _wave(trees, asked, best, k, done, wave, shards, blocks)
         if best is not None:
             found = found.unionByName(best)
         order = Window.partitionBy("block", "piece", "q").orderBy(F.desc("score"), "vec_id")
@@ -174,43 +197,60 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK,
         best = materialize(ranked.drop("rank"), "best")
 
 
-def _wave(trees: DataFrame, asked: DataFrame, best: DataFrame | None, k: int, done: int, wave: int, shards: int, tasks: int) -> DataFrame:
+def _wave(trees: DataFrame, asked: DataFrame, best: DataFrame | None, k: int, done: int, wave: int, shards: int, blocks: int) -> DataFrame:
     """block, piece, q, query_id, vec_id, score: what each block finds in `wave` shards after the `done` ones it has seen."""
     if best is None:
         knowing = asked.withColumn("known", F.expr("cast(null as array<struct<q:int,kth:double>>)"))
     else:
         kth = best.groupBy("block", "piece", "q").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where((F.col("n") >= k) & (F.abs("kth") < 2**53))
         known = kth.groupBy(F.col("block").alias("of"), F.col("piece").alias("of_piece")).agg(F.collect_list(F.struct("q", F.col("kth").cast("double").alias("kth"))).alias("known"))
-        knowing = asked.join(known, (F.col("block") == F.col("of")) & (F.col("piece") == F.col("of_piece")), "left").drop("of", "of_piece")
-    turns = F.sequence(F.lit(done).cast("long"), F.lit(done + wave - 1).cast("long"))
-    dealt = knowing.withColumn("turn", F.explode(turns)).withColumn("to", F.pmod(F.col("block") + F.col("piece") + F.col("turn"), F.lit(shards)))
-    dealt = dealt.select("block", "piece", "to", F.col("dims").alias("of_dims"), F.col("ids").alias("names"), F.col("points").alias("asked"), "known")
-    pairs = dealt.join(trees, (F.col("to") == F.col("shard")) & (F.col("of_dims") == F.col("dims")))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([_search_pair(row, k) for row in pdf.itertuples()])
+        knowing = asked.hint("merge").join(known, (F.col("block") == F.col("of")) & (F.col("piece") == F.col("of_piece")), "left").drop("of", "of_piece")
+    tasks = min(WAVE_TASKS, 2 * wave * blocks)
+    turn = F.explode(F.sequence(F.lit(done).cast("long"), F.lit(done + wave - 1).cast("long")))
+    dealt = knowing.withColumn("turn", turn).withColumn("to", F.pmod(F.col("block") + F.col("turn"), F.lit(shards)))
+    dealt = dealt.select("block", "piece", "to", F.col("dims").alias("of_dims"), F.col("kind").alias("asked_kind"), F.col("ids").alias("names"), F.col("points").alias("asked"), "known")
+    # the shard's side of the same pairs
+    begun = F.pmod(F.col("shard") - F.col("with"), F.lit(shards))
+    copies = trees.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).where((begun >= done) & (begun < done + wave)).select("with", "shard", "dims", "kind", "ids", "points")
+    on = (F.col("block") == F.col("with")) & (F.col("to") == F.col("shard")) & (F.col("of_dims") == F.col("dims"))
+    # a join by broadcast would bring one side through the driver, whose size is judged by compressed files
+    pairs = dealt.repartition(tasks, "block", "to", "of_dims").hint("merge").join(copies.repartition(tasks, "with", "shard", "dims"), on)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                yield from _search_pair({c: batch.column(c)[i] for c in PAIR}, k)
 
-    keys = ("shard", "tree", "dims", "block", "piece")
-    return pairs.repartition(tasks, *keys).groupBy(*keys).applyInPandas(search, "block long, piece long, q int, query_id long, vec_id long, score long")
+    return pairs.select(*PAIR).mapInArrow(search, "block long, piece long, q int, query_id long, vec_id long, score long")
 
 
-def _search_pair(row, k: int) -> pd.DataFrame:
-    """One block of queries in one tree."""
-    names, ids = np.frombuffer(row.names, np.int64), np.frombuffer(row.ids, np.int64)
-    queries, points = (np.frombuffer(x, np.float64).reshape(-1, row.dims) if row.dims else np.zeros((n, 0)) for x, n in ((row.asked, len(names)), (row.points, len(ids))))
-    most = max(float(np.abs(queries).max(initial=0)), float(np.abs(points).max(initial=0)))
+def _search_pair(row: dict[str, pa.Scalar], k: int) -> Iterator[pa.RecordBatch]:
+    """One block of queries in one shard's piece."""
+    names, ids = (np.frombuffer(row[c].as_buffer(), np.int64) for c in ("names", "ids"))
+    dims = row["dims"].as_py()
+    queries, points = (np.frombuffer(row[c].as_buffer(), row[kind].as_py()).reshape(n, dims) for c, kind, n in (("asked", "asked_kind", len(names)), ("points", "kind", len(ids))))
+    most = max(abs(float(x)) for part in (queries, points) for x in (part.min(initial=0), part.max(initial=0)))
     if most >= 2**63:
         raise ValueError("components are too large for scores that are longs")
-    if not row.dims or most**2 * row.dims >= 2**53:
-        q, found, score = _plain_search(ids, points, names, queries, k)
-    else:
-        kth = np.full(len(names), -np.inf)
-        for x in row.known if row.known is not None else ():
-            kth[x["q"]] = x["kth"]
-        kind = np.float32 if most**2 * row.dims < 2**24 else np.float64
-        q, found, score = Tree(ids, points.astype(kind)).search(names, queries.astype(kind), kth, k)
-    out = {"block": row.block, "piece": row.piece, "q": q, "query_id": names[q], "vec_id": found, "score": score}
-    return pd.DataFrame(out).astype({"score": "int64"})
+    plain = not dims or most**2 * dims >= 2**53
+    kind = np.float32 if most**2 * dims < 2**24 else np.float64
+    kth = np.full(len(names), -np.inf)
+    if (known := row["known"].values) is not None:
+        kth[known.field("q").to_numpy()] = known.field("kth").to_numpy()
+    trees = [] if plain else [Tree(ids[at : at + TREE_ROWS], points[at : at + TREE_ROWS].astype(kind)) for at in range(0, len(ids), TREE_ROWS)]
+    for at in range(0, len(names), ASKED):
+        some, asked = names[at : at + ASKED], queries[at : at + ASKED].astype(np.float64 if plain else kind)
+        if plain:
+            q, found, score = _plain_search(ids, points, some, asked, k)
+        else:
+            best, best_id = no_best(len(some), k)
+            for tree in trees:
+                tree.improve(some, asked, kth[at : at + ASKED], best, best_id, k)
+            q, j = np.nonzero(~np.isneginf(best))
+            found, score = best_id[q, j], best[q, j].astype(np.int64)
+        one = {c: pa.array(np.full(len(q), row[c].as_py()), pa.int64()) for c in ("block", "piece")}
+        yield pa.record_batch(one | {"q": pa.array(q + at, pa.int32()), "query_id": pa.array(some[q], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.int64())})
+    give_back()
 
 
 def _plain_search(ids: np.ndarray, points: np.ndarray, names: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from tessera.llm import op2_jaccard
+from tessera.llm import op2_jaccard, op10_topk
 from tessera.llm.words import LOWERED, cut_rows
 
 
@@ -72,3 +72,34 @@ def test_frequent_shingles_are_those_of_many_texts(spark):
         often = np.array([sum(held[s]) >= op2_jaccard.OFTEN for s in keys])
         assert often.any() and found[often].all()
         assert found[~often].mean() < 0.1
+
+
+def test_topk_packs_narrowly_and_broadcasts_nothing(spark):
+    """A component that fits a byte takes one, and no side of a pair goes through the driver."""
+    r = np.random.default_rng(11)
+    n, dims = 20_000, 32
+    df = spark.createDataFrame([(i, x) for i, x in enumerate((r.integers(-60, 60, (n, dims)) / 64).tolist())], "vec_id long, embedding array<double>")
+    vectors = op10_topk.materialize(op10_topk.whole_vectors(df, "vec_id", "embedding", 64.0), "vectors")
+    packed = op10_topk._packed(vectors, "shard", 3000, 4).collect()
+    assert {x["kind"] for x in packed} == {"|i1"} and sum(len(x["points"]) for x in packed) == n * dims
+    found = op10_topk.topk(vectors, vectors.where("_id % 20 = 0"))
+    assert found.count() == 20 * n // 20
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_pair_is_searched_by_many_trees(monkeypatch):
+    """Whatever the rows of a tree, the queries at once and the types, a pair gives what brute force gives."""
+    monkeypatch.setattr(op10_topk, "TREE_ROWS", 50)
+    monkeypatch.setattr(op10_topk, "ASKED", 7)
+    r = np.random.default_rng(13)
+    queries, points = r.integers(-128, 128, (30, 5)).astype(np.int8), r.integers(-3000, 3000, (333, 5)).astype(np.int16)
+    names, ids = np.arange(30) * 20, r.permutation(333)
+    known = pa.array([[{"q": 3, "kth": 0.0}, {"q": 20, "kth": 100_000.0}]], pa.list_(pa.struct([("q", pa.int32()), ("kth", pa.float64())])))
+    for kth in (known[0], pa.nulls(1, known.type)[0]):
+        row = {"block": pa.scalar(2), "piece": pa.scalar(1), "names": pa.scalar(names.tobytes(), pa.binary()), "ids": pa.scalar(ids.tobytes(), pa.binary()), "asked_kind": pa.scalar(queries.dtype.str), "kind": pa.scalar(points.dtype.str)}
+        row |= {"dims": pa.scalar(5), "asked": pa.scalar(queries.tobytes(), pa.binary()), "points": pa.scalar(points.tobytes(), pa.binary()), "known": kth}
+        got = {(x["q"], x["query_id"], x["vec_id"], x["score"]) for b in op10_topk._search_pair(row, 20) for x in b.to_pylist()}
+        least = {x["q"]: x["kth"] for x in kth.as_py() or ()}
+        for q, query in enumerate(queries.astype(np.int64)):
+            scored = sorted((-int(s), i) for s, i in zip(points.astype(np.int64) @ query, ids.tolist(), strict=True) if i != names[q])[:20]
+            assert {(q, int(names[q]), i, -s) for s, i in scored if -s >= least.get(q, -np.inf)} == {x for x in got if x[0] == q}
